@@ -45,13 +45,11 @@ def tags_merge(left: Column, right: Column) -> Column:
     return F.map_concat(kept, right)
 
 
-def build_tags(**values: Column) -> Column:
-    return build_object(values)
-
-
 def build_object(values: Mapping[str, Column]) -> Column:
     """A map of the given values without the null ones."""
-    entries = [F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in values.items()]
+    entries = [
+        F.named_struct(F.lit("key"), F.lit(k), F.lit("value"), v.cast("string")) for k, v in values.items()
+    ]
     return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
 
 
@@ -71,7 +69,3 @@ def unify_keys(tags: Column) -> Column:
     }
     return tags_merge(tags_minus(tags, *aliases), build_object(unified))
 
-
-def tags_of(**columns: Column) -> Column:
-    """A tag map from wide columns; `__` in a name stands for a colon."""
-    return build_object({name.replace("__", ":"): value for name, value in columns.items()})

@@ -183,7 +183,7 @@ def has_shower_evidence(tags: Column) -> Column:
 
 
 def shower_label(rank: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(s) for s in SHOWERS]), rank + 1)
+    return F.get(F.array(*[F.lit(s) for s in SHOWERS]), rank)
 
 
 def least_shower(evidence: Column, lacking: Column, own: Column) -> Column:
@@ -201,7 +201,7 @@ def poi_evidence(features, lists: dict[str, str], flags: bool = True):
     tags = F.col("tags")
     items = F.filter(
         F.array(
-            *[F.struct(F.lit(name).alias("list"), tags[key].alias("value")) for name, key in lists.items()]
+            *[F.named_struct(F.lit("list"), F.lit(name), F.lit("value"), tags[key]) for name, key in lists.items()]
         ),
         lambda i: i["value"].isNotNull(),
     )

@@ -48,31 +48,43 @@ def hidden_shapes(sites: DataFrame, nested: DataFrame) -> DataFrame:
     return inner.unionByName(shared_shapes(sites)).distinct()
 
 
-def contained_sites(sites: DataFrame, nested: DataFrame) -> DataFrame:
-    """(shape, inner_sites): camp sites that lie in an outer geometry, ordered by key."""
-    listed = sites.filter(
-        F.coalesce(F.col("tags")["tourism"] != "caravan_site", F.lit(False))
-    ).select(F.col("shape").alias("inner"), F.struct(*KEY).alias("site"))
+def is_camp_inside():
+    """Inner caravan sites are not reported."""
+    return F.coalesce(F.col("tags")["tourism"] != "caravan_site", F.lit(False))
+
+
+def contained_sites(sites: DataFrame, nested: DataFrame, listed=None) -> DataFrame:
+    """(shape, inner_sites): sites that lie in an outer geometry, ordered by key.
+
+    The list of a geometry that several sites share names these sites too.
+    """
+    wanted = sites if listed is None else sites.filter(listed)
+    inner = wanted.select(F.col("shape").alias("inner"), F.struct(*KEY).alias("site"))
     same = shared_shapes(sites).select(F.col("shape").alias("outer"), F.col("shape").alias("inner"))
     return (
         nested.unionByName(same)
-        .join(listed, "inner")
+        .join(inner, "inner")
         .groupBy(F.col("outer").alias("shape"))
         .agg(F.array_sort(F.collect_list("site")).alias("inner_sites"))
     )
 
 
+def others_inside():
+    """`inner_sites` without the site itself."""
+    return F.filter(
+        F.col("inner_sites"),
+        lambda s: (s["osm_type"] != F.col("osm_type")) | (s["osm_id"] != F.col("osm_id")),
+    )
+
+
 def mark_quality(sites: DataFrame, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
     """Renew the `contains_sites` tag and `visible` of all sites."""
     columns = sites.columns
     plain = with_shape(sites.withColumn("tags", tags_minus(F.col("tags"), CONTAINS)))
     nested = nested_shapes(plain, split_rows)
     hidden = hidden_shapes(plain, nested).withColumn("hidden", F.lit(True))
-    contained = contained_sites(plain, nested)
-    others = F.filter(
-        F.col("inner_sites"),
-        lambda s: (s["osm_type"] != F.col("osm_type")) | (s["osm_id"] != F.col("osm_id")),
-    )
+    contained = contained_sites(plain, nested, is_camp_inside())
+    others = others_inside()
     urls = F.array_join(
         F.transform(others, lambda s: osm_url(s["osm_type"], s["osm_id"], SHORT_URL)), " "
     )

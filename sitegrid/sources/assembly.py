@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections import defaultdict
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitegrid.functions.geometry import vertex
 from sitegrid.schema import RINGS
 
+# workers get the stitching code with the task and need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def way_geometry(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     """(id, path): the coordinates of each way in order; unknown nodes are skipped."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sitegrid.functions.geometry import point_rings, vertex
 from sitegrid.functions.tags import build_object
 from sitegrid.schema import CHANGE, ENVELOPE, IMAGE, KEY, TAGS
+from sitegrid.session import configure, written
 from sitegrid.sources.fixture_views import with_views
 
 BASE_TABLES = [
@@ -90,8 +91,25 @@ def pair_tags(k1: Column, v1: Column, k2: Column, v2: Column) -> Column:
 class Fixtures:
     """Lazily built tables of one scale factor."""
 
+    _open: dict[tuple[str, str], "Fixtures"] = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._saved: dict[str, DataFrame] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Fixtures":
+        """The fixtures of a session and folder; tables saved once are used again."""
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in cls._open:
+            cls._open[key] = cls(configure(spark), sf_dir)
+        return cls._open[key]
+
+    def saved(self, name: str, build=None) -> DataFrame:
+        """A table as Parquet in the shared folder, written at first use."""
+        if name not in self._saved:
+            self._saved[name] = written(build() if build else getattr(self, name), name)
+        return self._saved[name]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
