@@ -47,7 +47,7 @@ def query(oracle: str | None = None, name: str | None = None):
         key = name or build.__name__
         QUERIES[key] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
         if oracle is not None:
-            ORACLES[key] = with_views(oracle, VIEWS)
+            ORACLES[key] = oracle if oracle.startswith("WITH ") else with_views(oracle, VIEWS)
         return build
 
     return register

@@ -9,7 +9,8 @@ from sitegrid.functions.scalars import osm_url
 from sitegrid.functions.tags import build_object, tags_merge, tags_minus
 from sitegrid.operators.inside import distinct_shapes, with_shape
 from sitegrid.operators.spatial import SPLIT_ROWS, join_all
-from sitegrid.schema import KEY
+from sitegrid.schema import GEOMETRY, KEY
+from sitegrid.session import written
 
 CONTAINS = "contains_sites"
 SHORT_URL = "https://osm.org/"
@@ -77,24 +78,29 @@ def others_inside():
     )
 
 
+def quality_marks(sites: DataFrame, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
+    """(shape, hidden, inner_sites): one row per geometry with something to mark.
+
+    Only keys, geometry and the tourism tag are needed here; they are written once,
+    because the steps below read them several times.
+    """
+    tourism = F.map_filter("tags", lambda k, _: k == "tourism").alias("tags")
+    narrow = written(with_shape(sites).select(*KEY, tourism, "shape", *GEOMETRY), "site_shapes")
+    nested = written(nested_shapes(narrow, split_rows), "nested_shapes")
+    hidden = hidden_shapes(narrow, nested).withColumn("hidden", F.lit(True))
+    return hidden.join(contained_sites(narrow, nested, is_camp_inside()), "shape", "full")
+
+
 def mark_quality(sites: DataFrame, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
     """Renew the `contains_sites` tag and `visible` of all sites."""
-    columns = sites.columns
-    plain = with_shape(sites.withColumn("tags", tags_minus(F.col("tags"), CONTAINS)))
-    nested = nested_shapes(plain, split_rows)
-    hidden = hidden_shapes(plain, nested).withColumn("hidden", F.lit(True))
-    contained = contained_sites(plain, nested, is_camp_inside())
     others = others_inside()
     urls = F.array_join(
         F.transform(others, lambda s: osm_url(s["osm_type"], s["osm_id"], SHORT_URL)), " "
     )
-    marked = (
-        plain.join(hidden, "shape", "left")
-        .join(contained, "shape", "left")
-        .withColumn("visible", F.col("hidden").isNull())
-        .withColumn(
-            "tags",
-            tags_merge(F.col("tags"), build_object({CONTAINS: F.when(F.size(others) > 0, urls)})),
-        )
-    )
-    return marked.select(*columns)
+    mark = build_object({CONTAINS: F.when(F.size(others) > 0, urls)})
+    changed = {
+        "tags": tags_merge(tags_minus(F.col("tags"), CONTAINS), mark),
+        "visible": F.col("hidden").isNull(),
+    }
+    marked = with_shape(sites).join(quality_marks(sites, split_rows), "shape", "left")
+    return marked.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in sites.columns])

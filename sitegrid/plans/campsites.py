@@ -21,6 +21,7 @@ from sitegrid.operators.relations import all_features, apply_gains, extend_membe
 from sitegrid.operators.quality import mark_quality
 from sitegrid.operators.spatial import SPLIT_ROWS
 from sitegrid.schema import FACILITIES, GEOMETRY, KEY
+from sitegrid.session import written
 
 LISTS = {"sport": "sport"}
 
@@ -52,7 +53,9 @@ def build_campsites(
         ["shape"],
         split_rows,
     )
-    rows = sites.join(content, "shape", "left").join(countries, "shape", "left")
+    # both are narrow, one row per geometry; the wide site rows move once
+    found = content.join(countries, "shape", "full")
+    rows = sites.join(found, "shape", "left")
     own = object_ref(F.col("osm_type"), F.col("osm_id"))
     shower = least_shower(
         F.col("inside_shower"), F.col("inside_lacking"), own_shower(F.col("tags"))
@@ -82,17 +85,19 @@ def apply_site_relations(
 ) -> DataFrame:
     """Spread tags, facilities, shower and sports along site relations.
 
-    With `keys`, only relations that one of these objects belongs to are read.
+    With `keys`, only relations that one of these objects belongs to are read. The
+    members with their objects are written once, because several steps read them.
     """
     if keys is not None:
         wanted = keys.select(F.col("osm_type").alias("member_type"), F.col("osm_id").alias("member_id"))
         touched = site_members.join(wanted, ["member_type", "member_id"], "left_semi").select("site_id")
         site_members = site_members.join(touched, "site_id", "left_semi")
-    members = extend_members(site_members, all_features(polys, points, lines))
+    members = written(extend_members(site_members, all_features(polys, points, lines)), "members")
     return apply_gains(sites, relation_gains(members, rules))
 
 
 def full_campsites(points, lines, polys, site_members, country_grid, rules=SITE_RULES) -> DataFrame:
     """The whole product, in the order build, relations, nesting marks."""
     built = build_campsites(points, polys, country_grid)
-    return mark_quality(apply_site_relations(built, site_members, points, lines, polys, rules))
+    related = apply_site_relations(built, site_members, points, lines, polys, rules)
+    return mark_quality(written(related, "related"))

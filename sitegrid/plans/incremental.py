@@ -21,6 +21,7 @@ from sitegrid.operators.spatial import join_all
 from sitegrid.plans.campsites import apply_site_relations, build_campsites
 from sitegrid.plans.playgrounds import build_playgrounds
 from sitegrid.schema import GEOMETRY, KEY
+from sitegrid.session import written
 from sitegrid.sources.ingest import is_line_poi, is_point_poi, is_polygon_poi
 
 
@@ -177,11 +178,11 @@ def rebuilt_playgrounds(new: Base, affected: DataFrame) -> DataFrame:
 
 
 def incremental_campsites(
-    sites: DataFrame, old: Base, new: Base, grid: DataFrame, affected: DataFrame, rules=SITE_RULES
+    sites: DataFrame, new: Base, grid: DataFrame, affected: DataFrame, rules=SITE_RULES
 ) -> DataFrame:
     """The whole product after a batch; nesting is marked anew over all sites."""
     rebuilt = rebuilt_campsites(new, grid, affected, rules)
-    return mark_quality(replace_rows(sites, affected, rebuilt, KEY))
+    return mark_quality(written(replace_rows(sites, affected, rebuilt, KEY), "merged"))
 
 
 def incremental_playgrounds(playgrounds: DataFrame, new: Base, affected: DataFrame) -> DataFrame:

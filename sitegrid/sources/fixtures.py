@@ -225,6 +225,34 @@ class Fixtures:
             )
         )
 
+    @cached_property
+    def relation_changes(self) -> DataFrame:
+        """Every third site relation is removed, every third keeps its even members."""
+        image = CHANGE["new"].dataType
+        stamp = F.lit("2030-01-01 00:00:00").cast("timestamp_ntz")
+
+        def only_tags(name: str) -> Column:
+            values = {"timestamp": stamp, "tags": F.col("tags")}
+            fields = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in image.fields]
+            return F.struct(*fields).alias(name)
+
+        changed = F.floor((F.col("id") - 2_000_000_000) / 6) % 3
+        kept = F.filter("members", lambda m: m["ref"] % 2 == 0).cast(CHANGE["members"].dataType)
+        return (
+            self.raw_relations.filter("tags['type'] = 'site'")
+            .filter(changed < 2)
+            .select(
+                F.col("id").alias("seq"),
+                stamp.alias("ts"),
+                F.when(changed == 0, "delete").otherwise("modify").alias("op"),
+                F.lit("R").alias("osm_type"),
+                F.col("id").alias("osm_id"),
+                only_tags("old"),
+                F.when(changed == 1, only_tags("new")).alias("new"),
+                F.when(changed == 1, kept).alias("members"),
+            )
+        )
+
     @cached_property
     def raw_nodes(self) -> DataFrame:
         """POI nodes with alias keys, and the untagged nodes of ways and relations."""

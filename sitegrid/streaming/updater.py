@@ -152,8 +152,10 @@ def apply_batch(store: Store, batch: DataFrame, batch_id: int) -> None:
     for name, kind in (("points", "P"), ("lines", "L"), ("polys", "A")):
         store.write_delta(version, name, keys, fresh.filter(F.col("kind") == kind))
     store.write_delta(version, "site_members", changed_relations(latest), new_members(latest))
-    store.write_delta(version, "campsites", sites, rebuilt_campsites(new, grid, sites))
-    store.write_delta(version, "playgrounds", grounds, rebuilt_playgrounds(new, grounds))
+    rebuilt = written(rebuilt_campsites(new, grid, sites), "rebuilt")
+    store.write_delta(version, "campsites", sites, rebuilt)
+    rebuilt = written(rebuilt_playgrounds(new, grounds), "rebuilt")
+    store.write_delta(version, "playgrounds", grounds, rebuilt)
     newest = changes.agg(F.max("ts")).first()[0] or last.newest
     store.commit(version, False, batch_id, newest)
     if len(commits) >= COMPACT_AFTER:
