@@ -17,7 +17,9 @@ from sitegrid.operators.spatial import join_shapes
 from sitegrid.plans import features
 from sitegrid.schema import GEOMETRY, KEY
 
-T = F.col("tags")
+
+def tags():
+    return F.col("tags")
 
 
 def everything(t):
@@ -27,7 +29,7 @@ def everything(t):
 @query("SELECT osm_type, osm_id, amenity, sport FROM ora_poi")
 def tag_get(t):
     return everything(t).select(
-        *KEY, tag_functions.tag_get(T, "amenity").alias("amenity"), tag_functions.tag_get(T, "sport").alias("sport")
+        *KEY, tag_functions.tag_get(tags(), "amenity").alias("amenity"), tag_functions.tag_get(tags(), "sport").alias("sport")
     )
 
 
@@ -35,8 +37,8 @@ def tag_get(t):
 def tag_exists(t):
     return everything(t).select(
         *KEY,
-        tag_functions.tag_exists(T, "shop").alias("has_shop"),
-        tag_functions.tag_exists(T, "tourism").alias("has_tourism"),
+        tag_functions.tag_exists(tags(), "shop").alias("has_shop"),
+        tag_functions.tag_exists(tags(), "tourism").alias("has_tourism"),
     )
 
 
@@ -46,7 +48,7 @@ def tag_exists(t):
 def tags_merge(t):
     """The right map wins; what only the left one has stays."""
     right = F.create_map(F.lit("name"), F.lit("merged"))
-    left = tag_functions.tags_merge(F.create_map(F.lit("amenity"), F.lit("none")), T)
+    left = tag_functions.tags_merge(F.create_map(F.lit("amenity"), F.lit("none")), tags())
     return everything(t).select(*KEY, tag_functions.tags_merge(left, right).alias("tags")).select(
         *KEY, tag("name"), tag("amenity")
     )
@@ -58,7 +60,7 @@ def tags_merge(t):
     " + (motorhome IS NOT NULL)::int + (shower IS NOT NULL)::int + (addr_country IS NOT NULL)::int AS bigint) AS n_tags FROM fx_poly"
 )
 def tags_minus(t):
-    return t.polys.select(*KEY, tag_functions.tags_minus(T, "amenity", "name", "sport").alias("tags")).select(
+    return t.polys.select(*KEY, tag_functions.tags_minus(tags(), "amenity", "name", "sport").alias("tags")).select(
         *KEY, tag("amenity"), tag("tourism"), F.size("tags").cast("bigint").alias("n_tags")
     )
 
@@ -67,17 +69,17 @@ def tags_minus(t):
     "SELECT osm_type, osm_id, coalesce(tourism, '') || '/' || coalesce(leisure, '') AS pair, CAST((tourism IS NOT NULL)::int + (leisure IS NOT NULL)::int AS bigint) AS n FROM fx_poly"
 )
 def build_object(t):
-    built = tag_functions.build_object({"tourism": T["tourism"], "leisure": T["leisure"]})
-    both = F.concat(F.coalesce(T["tourism"], F.lit("")), F.lit("/"), F.coalesce(T["leisure"], F.lit("")))
+    built = tag_functions.build_object({"tourism": tags()["tourism"], "leisure": tags()["leisure"]})
+    both = F.concat(F.coalesce(tags()["tourism"], F.lit("")), F.lit("/"), F.coalesce(tags()["leisure"], F.lit("")))
     return t.polys.select(*KEY, built.alias("tags"), both.alias("pair")).select(
         *KEY, "pair", F.size("tags").cast("bigint").alias("n")
     )
 
 
 def _unified(t):
-    sites = all_features(t.polys, t.points).filter(is_site(T))
+    sites = all_features(t.polys, t.points).filter(is_site(tags()))
     countries = country_lookup(t.country_grid, sites, KEY)
-    return sites.join(countries, KEY, "left").select(*KEY, unify_country(T, F.col("country")).alias("tags"))
+    return sites.join(countries, KEY, "left").select(*KEY, unify_country(tags(), F.col("country")).alias("tags"))
 
 
 @query("SELECT osm_type, osm_id, addr_country FROM ora_addr", name="unify_country")
@@ -110,8 +112,8 @@ def site_tags_merge(t):
     "SELECT osm_type, osm_id, array_to_string(string_split(sport, ';'), '|') AS sports, CAST(len(string_split(sport, ';')) AS bigint) AS n FROM ora_poi WHERE sport IS NOT NULL"
 )
 def json_sport_split(t):
-    sports = scalars.split_list(T["sport"])
-    return everything(t).filter(T["sport"].isNotNull()).select(
+    sports = scalars.split_list(tags()["sport"])
+    return everything(t).filter(tags()["sport"].isNotNull()).select(
         *KEY, F.array_join(sports, "|").alias("sports"), F.size(sports).cast("bigint").alias("n")
     )
 
@@ -130,7 +132,7 @@ def feature_properties(t):
     "SELECT osm_type, osm_id, lower(addr_country) AS lowered, upper(addr_country) AS raised, CAST(length(addr_country) AS bigint) AS n FROM fx_poly WHERE addr_country IS NOT NULL"
 )
 def lower_upper_length(t):
-    code = T["addr:country"]
+    code = tags()["addr:country"]
     return t.polys.filter(code.isNotNull()).select(
         *KEY, F.lower(code).alias("lowered"), F.upper(code).alias("raised"), F.length(code).cast("bigint").alias("n")
     )
@@ -164,7 +166,7 @@ def coalesce_greatest(t):
     floor = F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")
     return all_features(t.polys, t.points).select(
         *KEY,
-        F.coalesce(T["sport"], T["name"], F.lit("none")).alias("label"),
+        F.coalesce(tags()["sport"], tags()["name"], F.lit("none")).alias("label"),
         F.greatest("timestamp", floor).alias("ts"),
     )
 
@@ -178,7 +180,7 @@ def iso_text(t):
     "SELECT osm_type, osm_id, concat_ws('|', amenity, leisure, sport) AS present, CAST((amenity IS NOT NULL)::int + (leisure IS NOT NULL)::int + (sport IS NOT NULL)::int AS bigint) AS n FROM ora_poi"
 )
 def array_clean(t):
-    present = F.array_compact(F.array(T["amenity"], T["leisure"], T["sport"]))
+    present = F.array_compact(F.array(tags()["amenity"], tags()["leisure"], tags()["sport"]))
     return everything(t).select(
         *KEY, F.array_join(present, "|").alias("present"), F.size(present).cast("bigint").alias("n")
     )
