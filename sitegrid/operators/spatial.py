@@ -67,6 +67,47 @@ def cover(prefix: str, level: str) -> str:
     return f"flatten(transform({xs}, kx -> transform({ys}, ky -> {cell})))"
 
 
+# Tiles of 4 degrees: at most 4050 on the map.
+TILE_LEVEL = 5
+MAX_TILES = 256
+
+
+def tile(x: str, y: str) -> str:
+    return _pack(str(TILE_LEVEL), _cell(x, str(TILE_LEVEL)), _cell(y, str(TILE_LEVEL)))
+
+
+def clustered(features: DataFrame) -> DataFrame:
+    """Rows ordered by tile, so that Parquet statistics can skip row groups by place.
+
+    The id in the range key lets a crowded place go to several files.
+    """
+    place = F.expr(tile("minx", "miny"))
+    return features.repartitionByRange(place, "minx", "osm_id").sortWithinPartitions(place)
+
+
+def points_near(points: DataFrame, areas: DataFrame) -> DataFrame:
+    """The points in tiles that some of a few areas reach into.
+
+    The tiles become plain comparisons that the scan can use. With more than
+    `MAX_TILES` of them all points are read; the result of a join is the same.
+    """
+    tiles = (
+        areas.selectExpr(f"explode({cover('', str(TILE_LEVEL))}) AS c")
+        .select("c.cx", "c.cy")
+        .distinct()
+        .limit(MAX_TILES + 1)
+        .collect()
+    )
+    if len(tiles) > MAX_TILES:
+        return points
+    size = 4.0 ** (TILE_LEVEL - 4)
+    within = [
+        f"(minx >= {t.cx * size}D AND minx <= {(t.cx + 1) * size}D AND miny >= {t.cy * size}D AND miny <= {(t.cy + 1) * size}D)"
+        for t in tiles
+    ]
+    return points.filter(" OR ".join(within) or "false")
+
+
 def used_levels(df: DataFrame, column: str) -> Column:
     """The levels a side uses (at most nine), as an uncorrelated scalar subquery."""
     return df.select(column).agg(F.array_sort(F.collect_set(column))).scalar()

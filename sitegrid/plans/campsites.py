@@ -36,16 +36,20 @@ def build_campsites(
     country_grid: DataFrame,
     keys: DataFrame | None = None,
     split_rows: int | None = SPLIT_ROWS,
+    content_points: DataFrame | None = None,
 ) -> DataFrame:
     """All sites, or those in `keys`, with content, category, country and last change.
 
+    `content_points` may be a part of `points` that holds all inside these sites.
+
     Areas look at points and areas inside them, themselves included. Sites mapped
     as points have no inside.
     """
     site = is_site(F.col("tags"))
     areas = with_shape(restrict(polys.filter(site), keys))
     spots = with_shape(restrict(points.filter(site), keys))
-    content = inside(areas, points, polys, LISTS, split_rows=split_rows)
+    near = points if content_points is None else content_points
+    content = inside(areas, near, polys, LISTS, split_rows=split_rows)
     sites = areas.unionByName(spots)
     countries = country_lookup(
         country_grid,

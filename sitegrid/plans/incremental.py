@@ -17,8 +17,8 @@ from sitegrid.functions.tags import unify_keys, value_in
 from sitegrid.operators.facilities import SITE_RULES, SITE_TOURISM, is_playground, is_site
 from sitegrid.operators.quality import mark_quality
 from sitegrid.operators.relations import all_features
-from sitegrid.operators.spatial import join_all
-from sitegrid.plans.campsites import apply_site_relations, build_campsites
+from sitegrid.operators.spatial import join_all, points_near
+from sitegrid.plans.campsites import apply_site_relations, build_campsites, restrict
 from sitegrid.plans.playgrounds import build_playgrounds
 from sitegrid.schema import GEOMETRY, KEY
 from sitegrid.session import written
@@ -167,14 +167,28 @@ def affected_playgrounds(old: Base, new: Base, latest: DataFrame) -> DataFrame:
 
 def rebuilt_campsites(new: Base, grid: DataFrame, affected: DataFrame, rules=SITE_RULES) -> DataFrame:
     """The affected sites as a full build would give them, before nesting marks."""
-    built = build_campsites(new.points, new.polys, grid, keys=affected, split_rows=None)
+    built = build_campsites(
+        new.points,
+        new.polys,
+        grid,
+        keys=affected,
+        split_rows=None,
+        content_points=points_near(new.points, restrict(new.polys, affected)),
+    )
     return apply_site_relations(
         built, new.site_members, new.points, new.lines, new.polys, rules, keys=affected
     )
 
 
 def rebuilt_playgrounds(new: Base, affected: DataFrame) -> DataFrame:
-    return build_playgrounds(new.points, new.lines, new.polys, keys=affected, split_rows=None)
+    return build_playgrounds(
+        new.points,
+        new.lines,
+        new.polys,
+        keys=affected,
+        split_rows=None,
+        content_points=points_near(new.points, restrict(new.polys, affected)),
+    )
 
 
 def incremental_campsites(

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sitegrid.operators.quality import mark_quality
 from sitegrid.operators.relations import all_features
+from sitegrid.operators.spatial import clustered
 from sitegrid.plans.campsites import apply_site_relations, build_campsites
 from sitegrid.plans.incremental import (
     Base,
@@ -87,7 +88,9 @@ class Store:
     def write_full(self, version: int, tables: dict[str, DataFrame]) -> None:
         for name, df in tables.items():
             columns = TABLES[name].fieldNames()
-            df.select(*columns).write.mode("overwrite").parquet(self._path(name, version))
+            rows = df.select(*columns)
+            rows = clustered(rows) if "minx" in columns and "osm_id" in columns else rows
+            rows.write.mode("overwrite").parquet(self._path(name, version))
 
     def write_delta(self, version: int, table: str, keys: DataFrame, fresh: DataFrame) -> None:
         """Fresh rows, and a marker for every key in `keys` that has none."""

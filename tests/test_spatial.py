@@ -95,3 +95,18 @@ def test_envelope_stage(spark):
     assert join_shapes(left, right, refine=False).count() == 1
     assert join_shapes(left, right).count() == 0
 
+
+
+def test_points_near_loses_no_match(spark):
+    areas, points, _ = layer(4)
+    few = S.table(spark, areas[:5])
+    near = spatial.points_near(S.table(spark, points), few)
+    assert 0 < near.count() < len(points)
+    kept = {r.osm_id for r in near.collect()}
+    assert all(p[1] in kept for a in areas[:5] for p in points if S.intersects(a, p))
+    assert spatial.points_near(S.table(spark, points), few.limit(0)).count() == 0
+
+
+def test_clustering_keeps_all_rows(spark):
+    _, points, _ = layer(6)
+    assert spatial.clustered(S.table(spark, points)).count() == len(points)
