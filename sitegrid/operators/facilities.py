@@ -19,7 +19,6 @@ SITE_TOURISM = ["camp_site", "caravan_site"]
 NUDIST_VALUES = ["yes", "obligatory", "customary", "designated"]
 
 # A rule is a list of alternatives; an alternative is a list of (key, test, value).
-_ANY = "exists"
 _IS = "="
 _NOT = "!="
 
@@ -81,9 +80,7 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _test(key: str, test: str, value: str | None) -> str:
-    if test == _ANY:
-        return f"map_contains_key(tags, {_quoted(key)})"
+def _test(key: str, test: str, value: str) -> str:
     return f"tags[{_quoted(key)}] {test} {_quoted(value)}"
 
 
