@@ -4,8 +4,10 @@ A public vocabulary with byte fallback cuts the words of a text into tokens. Thr
 measures follow: word characters per token, the share of tokens that are byte fallbacks,
 and the entropy of the tokens, against that of as many different ones. A second
 vocabulary, of byte pairs, adds its own characters per token if its file is given. Each language (or script) has its
-own band per measure, its median over all texts and a number of median deviations on
-either side; texts outside are rejected, as are short texts and texts of repeats.
+own band per measure: its median over all texts that pass the base rule, and a number of
+median deviations on either side. A mean over tokens may stray further in a short text,
+so its deviations are taken times the root of the number of tokens. Texts outside a band
+are rejected, as are short texts and texts of repeats.
 
 Null and empty texts have no words and fail the base rule. Rows are judged one by one;
 repeated rows give repeated results. An empty table gives an empty result.
@@ -31,14 +33,16 @@ U64 = np.uint64
 #: fixed values: the characters counted as symbols
 SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>"))
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: measure -> smallest deviation a band assumes, in units of the measure
-FLOORS = {"chars_per_token": 0.1, "second_chars_per_token": 0.1, "byte_share": 0.02, "entropy": 0.02}
+#: measure -> smallest deviation a band assumes
+FLOORS = {"chars_per_token": 0.3, "second_chars_per_token": 0.3, "byte_share": 0.1, "entropy": 0.02}
+#: means over tokens: their deviations shrink with the root of the number of tokens, and are compared at one token
+MEANS = ("chars_per_token", "second_chars_per_token", "byte_share")
 WIDTH = 8.0
 
 HASH = Hasher(seed=10)
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-SCHEMA = pa.schema([("doc_id", pa.int64()), ("lang", pa.string())] + [(c, pa.int64()) for c in COUNTS] + [(m, pa.float64()) for m in FLOORS])
+SCHEMA = pa.schema([("doc_id", pa.int64()), ("lang", pa.string())] + [(c, pa.int64()) for c in [*COUNTS, "n_tokens"]] + [(m, pa.float64()) for m in FLOORS])
 
 
 class Pieces:
@@ -105,7 +109,7 @@ def base_counts(block: Block, starts: np.ndarray, ends: np.ndarray, first: np.nd
 def fertility(block: Block, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, h: np.ndarray, chars: np.ndarray, pieces: Pieces) -> list[np.ndarray]:
     n = block.n
     if not len(starts):
-        return [np.zeros(n)] * 4
+        return [np.zeros(n, np.int64), *[np.zeros(n)] * 4]
     codes, keys = pd.factorize(h)
     one = np.empty(len(keys), np.int64)
     one[codes[::-1]] = np.arange(len(codes))[::-1]
@@ -124,7 +128,7 @@ def fertility(block: Block, starts: np.ndarray, ends: np.ndarray, first: np.ndar
     total = np.maximum(tokens, 1)
     share = counts / total[kinds >> 32]
     entropy = np.bincount(kinds >> 32, -share * np.log2(share), minlength=n) / np.log2(np.maximum(total, 2))
-    return [chars / total, chars / np.maximum(sums_by(first, second[codes]), 1), fallbacks / total, entropy]
+    return [tokens, chars / total, chars / np.maximum(sums_by(first, second[codes]), 1), fallbacks / total, entropy]
 
 
 def measures(docs: DataFrame, piece_path: str, pair_path: str | None = None, text: Column | str = "text", doc_id: Column | str = "doc_id", group: Column | str = "lang") -> DataFrame:
@@ -150,30 +154,28 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def bands(measured: DataFrame, width: float = WIDTH) -> DataFrame:
-    """Lowest and highest value accepted of each measure, per group; learned from texts that pass the base rule."""
+def deviation(measure: str) -> Column:
+    away = F.abs(F.col(measure) - F.col(f"{measure}_mid"))
+    return away * F.sqrt("n_tokens") if measure in MEANS else away
+
+
+def bands(measured: DataFrame) -> DataFrame:
+    """Median of each measure and the median deviation from it, per group, over all texts that pass the base rule."""
     fit = measured.where(~base_failed())
     middle = fit.groupBy("lang").agg(*(F.percentile_approx(m, 0.5, 1000).alias(f"{m}_mid") for m in FLOORS))
-    spread = fit.join(middle, "lang").groupBy("lang").agg(
-        *(F.first(f"{m}_mid").alias(f"{m}_mid") for m in FLOORS),
-        *(F.percentile_approx(F.abs(F.col(m) - F.col(f"{m}_mid")), 0.5, 1000).alias(f"{m}_dev") for m in FLOORS),
-    )
-    return spread.select(
-        "lang",
-        *(F.expr(f"{m}_mid - {width} * greatest({m}_dev, {floor})").alias(f"{m}_low") for m, floor in FLOORS.items()),
-        *(F.expr(f"{m}_mid + {width} * greatest({m}_dev, {floor})").alias(f"{m}_high") for m, floor in FLOORS.items()),
-    )
+    spread = fit.join(middle, "lang").groupBy("lang").agg(*(F.percentile_approx(deviation(m), 0.5, 1000).alias(f"{m}_dev") for m in FLOORS))
+    return middle.join(spread, "lang")
 
 
 def judge(docs: DataFrame, piece_path: str, pair_path: str | None = None, text: Column | str = "text", doc_id: Column | str = "doc_id", group: Column | str = "lang", width: float = WIDTH) -> DataFrame:
     """Counts, measures, base_failed and kept for every text. A text is kept if it passes
     the base rule and each measure lies in the band of its group. Measures are written
-    to the shared folder once; they are a few numbers per text."""
+    to the shared folder once; they are a few numbers per text. Bands are one row per
+    group, and Spark broadcasts them only if they are small."""
     measured = written(measures(docs, piece_path, pair_path, text, doc_id, group), "fertility")
-    inside = [F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")) for m in FLOORS]
-    ok = inside[0]
-    for x in inside[1:]:
-        ok = ok & x
-    return measured.join(bands(measured, width), "lang", "left").select(
-        "doc_id", *COUNTS, base_failed().alias("base_failed"), (~base_failed() & F.coalesce(ok, F.lit(True))).alias("kept"), "lang", *FLOORS
+    inside = F.lit(True)
+    for m, floor in FLOORS.items():
+        inside = inside & (deviation(m) <= width * F.greatest(F.col(f"{m}_dev"), F.lit(floor)))
+    return measured.join(bands(measured), "lang", "left").select(
+        "doc_id", *COUNTS, base_failed().alias("base_failed"), (~base_failed() & F.coalesce(inside, F.lit(True))).alias("kept"), "lang", "n_tokens", *FLOORS
     )

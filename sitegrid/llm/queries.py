@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrid.llm import attention_quality, byte_bpe, fertility, hd_language
+from sitegrid.llm import attention_quality, byte_bpe, fertility, hd_language, secret_ledger
 from sitegrid.llm.tables import fold, prepare, read
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -43,10 +43,19 @@ def op7_hd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hd_language.identify(docs, names, vectors).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = secret_ledger.scan(read(spark, sf_dir, "documents"))
+    kinds = [r.kind for r in secret_ledger.BASE_RULES]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    counts = [F.expr(f"CAST(size(filter(spans, s -> s.kind = '{k}')) AS long) AS n_{k}") for k in kinds]
+    digest = F.sha2(secret_ledger.joined(base).cast("binary"), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), secret_ledger.joined(F.col("spans")).alias("spans"))
+
+
 def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return fertility.judge(read(spark, sf_dir, "documents"), PIECE_VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op4_attention_quality, op6_byte_bpe, op7_hd_language, op10_fertility)}
+QUERIES = {f.__name__: f for f in (op4_attention_quality, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op10_fertility)}
 ORACLES: dict[str, str] = {}
