@@ -6,13 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrid.llm import attention_quality, byte_bpe, fertility, hd_language, secret_ledger
+from sitegrid.llm import attention_quality, byte_bpe, fertility, hd_language, secret_ledger, simhash
 from sitegrid.llm.tables import fold, prepare, read
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> attention_quality.Model:
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return attention_quality.train(docs.where(fold(F.col("doc_id"), 5) != 0).join(labels, "doc_id"))
@@ -54,8 +60,8 @@ def op8_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return fertility.judge(read(spark, sf_dir, "documents"), PIECE_VOCABULARY)
+    return fertility.judge(read(spark, sf_dir, "documents"), PIECE_VOCABULARY, BYTE_VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op4_attention_quality, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op10_fertility)}
+QUERIES = {f.__name__: f for f in (op3_simhash, op4_attention_quality, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op10_fertility)}
 ORACLES: dict[str, str] = {}
