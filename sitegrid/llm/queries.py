@@ -6,13 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrid.llm import attention_quality, byte_bpe, fertility, hd_language, secret_ledger, simhash
+from sitegrid.llm import attention_quality, byte_bpe, fertility, hd_language, secret_ledger, simhash, substring_dedup
 from sitegrid.llm.tables import fold, prepare, read
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    kept = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
@@ -63,5 +69,5 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(read(spark, sf_dir, "documents"), PIECE_VOCABULARY, BYTE_VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_attention_quality, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op10_fertility)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_simhash, op4_attention_quality, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op10_fertility)}
 ORACLES: dict[str, str] = {}

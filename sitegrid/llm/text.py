@@ -9,7 +9,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK = 2 << 20
 U64 = np.uint64
@@ -199,3 +201,26 @@ def anchors(h: np.ndarray, first: np.ndarray, base: int, target: int) -> tuple[n
     top = sliding(edge, target - base + 1, np.maximum)[: len(h)]
     chosen = (top == h) & (top > 0)
     return at, low, np.flatnonzero(chosen)
+
+
+def strings(data: np.ndarray, lengths: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
+    """Texts (or binaries) of the given lengths that lie one after another in data."""
+    kind = kind or pa.string()
+    offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
+    return pa.Array.from_buffers(kind, len(lengths), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(data).tobytes())])
+
+
+def lists(column: pa.Array, start: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Flat values of rows start..start+n of a list column, and the first value of each row; null lists are empty."""
+    part = column.slice(start, n)
+    sizes = np.array([0 if s is None else s for s in pc.list_value_length(part).to_pylist()], np.int64)
+    return part.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(sizes))
+
+
+def listed(h: np.ndarray, owner: np.ndarray, values: np.ndarray, until: np.ndarray) -> np.ndarray:
+    """Which hashes are in the list of their text."""
+    if not len(values) or not len(h):
+        return np.zeros(len(h), bool)
+    salt = U64(0x9E3779B97F4A7C15)
+    there = pd.Index(np.unique(mix(values.view(np.uint64) + owners(until).astype(np.uint64) * salt)))
+    return there.get_indexer(mix(h + owner.astype(np.uint64) * salt)) >= 0
