@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrid.llm import attention_quality, byte_bpe, fertility, hd_language, secret_ledger, simhash, substring_dedup
+from sitegrid.llm import attention_quality, byte_bpe, decontamination, fertility, hd_language, secret_ledger, simhash, substring_dedup
 from sitegrid.llm.tables import fold, prepare, read
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found, members = decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    # one row per document and different test item; item_ids lists the items of equal words
+    alike = members.groupBy("class_id").agg(F.array_join(F.array_sort(F.collect_list("item_id")), ",").alias("item_ids"))
+    return found.join(alike, "class_id").select("doc_id", F.col("class_id").alias("item_id"), "item_ids", "score", "first_word", "last_word", "first_char", "last_char")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     kept = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
@@ -69,5 +77,5 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(read(spark, sf_dir, "documents"), PIECE_VOCABULARY, BYTE_VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_simhash, op4_attention_quality, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op10_fertility)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_substring_dedup, op3_simhash, op4_attention_quality, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op10_fertility)}
 ORACLES: dict[str, str] = {}
