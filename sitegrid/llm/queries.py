@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrid.llm import attention_quality, byte_bpe, decontamination, fertility, hd_language, secret_ledger, simhash, substring_dedup
+from sitegrid.llm import attention_quality, byte_bpe, decontamination, fertility, hd_language, secret_ledger, simhash, substring_dedup, suffix_tree_lm
 from sitegrid.llm.tables import fold, prepare, read
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -72,10 +72,17 @@ def op8_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest.alias("base_sha256"), secret_ledger.joined(F.col("spans")).alias("spans"))
 
 
+def op9_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    held_out = fold(F.col("doc_id"), 10) == 0
+    scored = suffix_tree_lm.score(read(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return fertility.judge(read(spark, sf_dir, "documents"), PIECE_VOCABULARY, BYTE_VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_substring_dedup, op3_simhash, op4_attention_quality, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op10_fertility)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_substring_dedup, op3_simhash, op4_attention_quality, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op9_suffix_tree_lm, op10_fertility)}
 ORACLES: dict[str, str] = {}

@@ -104,21 +104,37 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     first = paths.groupBy("blob").agg(F.min("path").alias("path"))
     todo = first if ledger is None else first.join(_done(ledger, rules), "blob", "left").where(F.coalesce(F.size("done"), F.lit(0)) < len(rules))
     source = source.withColumn("blob", content_address(F.col("text")))
-    unseen = source.join(todo, ["path", "blob"])
+    # one copy of each blob, by its path; a path may be null
+    unseen = source.alias("s").join(todo.alias("t"), (F.col("s.blob") == F.col("t.blob")) & F.col("s.path").eqNullSafe(F.col("t.path"))).select("s.*")
     new = scan_blobs(unseen, rules)
     if ledger is not None:
         seen = ledger.where(_of(rules)).select("blob", "kind", "version")
         new = new.join(seen, ["blob", "kind", "version"], "left_anti")
     new = written(new.dropDuplicates(["blob", "kind", "version"]).select(*LEDGER), "ledger")
-    known = new if ledger is None else ledger.select(*LEDGER).unionByName(new)
-    # findings of a blob are as many as its text holds, so they fit one row
-    found = known.where(_of(rules) & (F.size("spans") > 0)).groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    found = written(found.select("blob", F.array_sort("spans", _by_start).alias("spans")), "findings")
+    found = by_blob(new if ledger is None else ledger.select(*LEDGER).unionByName(new), rules)
     none = F.expr(f"CAST(array() AS array<{SPAN}>)")
     out = paths.join(found, "blob", "left")
     return out.select(F.col("path").alias(path), "blob", F.coalesce("spans", none).alias("spans")), new
 
 
+def by_blob(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """blob and its spans by start and kind, for blobs with findings. They are as many as a text holds, so they fit one row."""
+    found = ledger.where(_of(rules) & (F.size("spans") > 0)).groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return written(found.select("blob", F.array_sort("spans", _by_start).alias("spans")), "findings")
+
+
+def mask(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """docs with each secret replaced by a mark; its number of characters follows, if there is a column for it."""
+    _, ledger = scan(docs, path=docs.columns[0], text=text)
+    found = by_blob(ledger).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
+    joined = docs.withColumn("__blob", content_address(F.col(text))).join(found, "__blob", "left")
+    clean = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(masked(F.col(text), F.col("__spans")))
+    changed = joined.withColumn(text, clean)
+    if n_chars in docs.columns:
+        changed = changed.withColumn(n_chars, F.when(F.col("__spans").isNull(), F.col(n_chars)).otherwise(F.length(text)).cast(docs.schema[n_chars].dataType))
+    return changed.select(*docs.columns)
+
+
 def _of(rules: tuple[Rule, ...]) -> Column:
     out = F.lit(False)
     for r in rules:
