@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrid.llm import attention_quality, byte_bpe, decontamination, fertility, hd_language, secret_ledger, simhash, substring_dedup, suffix_tree_lm
+from sitegrid.llm import attention_quality, byte_bpe, decontamination, fertility, hd_language, secret_ledger, simhash, substring_dedup, suffix_dedup, suffix_tree_lm
 from sitegrid.llm.tables import fold, prepare, read
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -50,6 +50,12 @@ def op4_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    kept = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return byte_bpe.token_digests(read(spark, sf_dir, "documents"), BYTE_VOCABULARY)
@@ -84,5 +90,5 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(read(spark, sf_dir, "documents"), PIECE_VOCABULARY, BYTE_VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_substring_dedup, op3_simhash, op4_attention_quality, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op9_suffix_tree_lm, op10_fertility)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_substring_dedup, op3_simhash, op4_attention_quality, op5_suffix_dedup, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op9_suffix_tree_lm, op10_fertility)}
 ORACLES: dict[str, str] = {}
