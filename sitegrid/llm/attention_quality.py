@@ -173,16 +173,15 @@ def score(docs: DataFrame, model: Model, text: Column | str = "text", doc_id: Co
     return score_rows(docs.select(as_column(doc_id).cast("long").alias("doc_id"), as_column(text).alias("text")), model).select("doc_id", "score")
 
 
-def score_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of docs and a column `score`."""
-    docs = docs.drop("score")
+def score_rows(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
+    """All columns of docs and a further column `into`, which docs must not have."""
     at = docs.columns.index(text)
-    schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(into, DoubleType())])
 
     def run(batches):
         for batch in batches:
             scores = [model.score(*encode(block)) for block in blocks(batch.column(at))]
             scores = np.concatenate(scores) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, into])
 
     return docs.mapInArrow(run, schema)

@@ -123,9 +123,9 @@ def by_blob(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return written(found.select("blob", F.array_sort("spans", _by_start).alias("spans")), "findings")
 
 
-def mask(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+def mask(docs: DataFrame, path: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """docs with each secret replaced by a mark; its number of characters follows, if there is a column for it."""
-    _, ledger = scan(docs, path=docs.columns[0], text=text)
+    _, ledger = scan(docs, path=path, text=text)
     found = by_blob(ledger).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
     joined = docs.withColumn("__blob", content_address(F.col(text))).join(found, "__blob", "left")
     clean = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(masked(F.col(text), F.col("__spans")))

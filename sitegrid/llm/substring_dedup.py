@@ -55,7 +55,7 @@ def anchor_rows(window: int, sieve=None):
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids = batch.column(0).to_numpy()
             for block in blocks(batch.column(1)):
                 starts, ends, first = words(block)
                 h = halves(FIRST.ranges(block.data, starts, ends), base)
@@ -76,7 +76,7 @@ def window_rows(window: int, split: int):
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids = batch.column(0).fill_null(0).to_numpy()  # rows without an id list nothing
             for block in blocks(batch.column(1)):
                 known, until = lists(batch.column(2), block.start, block.n)
                 if not len(known):
@@ -92,7 +92,7 @@ def window_rows(window: int, split: int):
                     continue
                 w1 = ngrams(words_1, window)[at]
                 w2 = ngrams(SECOND.ranges(block.data, starts, ends), window, 1)[at]
-                docs = ids[block.start + text[at]].astype(np.int64)
+                docs = ids[block.start + text[at]]
                 new = ~pd.DataFrame({"w": w1, "d": text[at]}).duplicated().to_numpy()
                 parts = np.maximum(1, -(-many // split))
                 part = np.where(parts > 1, docs % parts + 1, 0)
@@ -177,7 +177,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, split: int = SPLIT, te
     repeated = written(counted, "repeated-halves")
     sieve = spark.sparkContext.broadcast(bloom(repeated))
     hits = named.mapInArrow(anchor_rows(window, sieve), anchor).join(repeated, "h")
-    per_doc = hits.groupBy("doc_id").agg(F.collect_list(F.struct("h", "n")).alias("found"))
+    per_doc = hits.groupBy("doc_id").agg(F.collect_set(F.struct("h", "n")).alias("found"))
     per_doc = per_doc.select("doc_id", "found.h", "found.n")
     # from here on nothing is written: both joins take the texts from one shuffle, both uses of `first` one as well
     found = texts.join(per_doc, "doc_id", "left").select("doc_id", "text", "h", "n").mapInArrow(window_rows(window, split), from_arrow_schema(WHOLE))

@@ -1,0 +1,23 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from samples import clashing, frame, texts  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def rows():
+    return texts()
+
+
+@pytest.fixture(scope="session")
+def docs(spark, rows):
+    return clashing(frame(spark, rows))
+
+
+@pytest.fixture(scope="session")
+def empty(docs):
+    return docs.where("false")
