@@ -2,8 +2,8 @@
 
 Words are lower-case runs of letters and digits. N-grams of the test items are counted
 over the whole corpus. In each stretch of consecutive n-grams of an item the rarest is
-a seed, so every part of an item has one, however common its words are. Seeds join
-texts to items; each pair is aligned word by word, which also scores edited copies, and
+a seed, so every four words in a row of an item have one, however common they are. Seeds
+join texts to items; each pair is aligned word by word, which also scores edited copies, and
 the pair counts as a leak if the score is a share of that of a perfect copy.
 
 Items of equal words are aligned once and listed together. Null and empty texts, and
@@ -25,7 +25,7 @@ from sitegrid.llm.bloom import bloom
 from sitegrid.llm.tables import written
 from sitegrid.llm.text import Block, Hasher, blocks, lists, ngrams, owners, signed, sliding, spans, starts_of
 
-SEED_WORDS, STRETCH = 3, 4
+SEED_WORDS, STRETCH = 3, 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST = 0.5
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrid.llm import attention_quality, byte_bpe, decontamination, fertility, hd_language, secret_ledger, simhash, substring_dedup, suffix_dedup, suffix_tree_lm
+from sitegrid.llm import attention_quality, byte_bpe, decontamination, fertility, hd_language, oracles, secret_ledger, simhash, substring_dedup, suffix_dedup, suffix_tree_lm
 from sitegrid.llm.tables import fold, prepare, read
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -91,4 +91,4 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_substring_dedup, op3_simhash, op4_attention_quality, op5_suffix_dedup, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op9_suffix_tree_lm, op10_fertility)}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op2_substring_dedup": oracles.SUBSTRING_DEDUP, "op8_secret_ledger": oracles.SECRET_LEDGER}
