@@ -10,9 +10,12 @@ into cells of a fixed hierarchy and meet in an equi-join.
   is all inside (no test left) or all outside (dropped before the shuffle).
 * Extended shapes keep all their edges; a pair is tested once, in the cell of the
   lower left corner of the envelopes' shared part. No `distinct` is needed.
-* Cells that hold too many rows of the right side are split: these rows are
-  spread over several sub-cells and the areas of the cell copied into each.
-  The list of such cells has at most `MAX_HOT` rows, so it is broadcast.
+* The cells of the left side fill a bit field of fixed size. A row of the right side
+  is copied to those of its cells only that the field may have, so what lies far
+  from all areas is dropped next to the scan.
+* Cells that hold too many rows of a side are split into parts, and the other side's
+  rows of the cell are copied into each. Both sides may be split; a pair meets in
+  one part. All such cells are split, however many there are.
 """
 
 from __future__ import annotations
@@ -29,8 +32,10 @@ FEW_CELLS = 9
 MAX_CELLS = 1024
 EDGES_PER_CELL = 8
 
-MAX_HOT = 1024
+# rows of one side of a cell that a task takes
 SPLIT_ROWS = 200_000
+# 2 ** 22 bits in 512 KB
+FIELD_WORDS = 1 << 16
 
 
 def _size(level: str) -> str:
@@ -69,7 +74,6 @@ def cover(prefix: str, level: str) -> str:
 
 # Tiles of 4 degrees: at most 4050 on the map.
 TILE_LEVEL = 5
-MAX_TILES = 256
 
 
 def tile(x: str, y: str) -> str:
@@ -88,24 +92,25 @@ def clustered(features: DataFrame) -> DataFrame:
 def points_near(points: DataFrame, areas: DataFrame) -> DataFrame:
     """The points in tiles that some of a few areas reach into.
 
-    The tiles become plain comparisons that the scan can use. With more than
-    `MAX_TILES` of them all points are read; the result of a join is the same.
+    The map has few tiles, so they travel as constants: the rows of tiles as plain
+    comparisons that the scan can use, the tiles themselves as a set.
     """
-    tiles = (
-        areas.selectExpr(f"explode({cover('', str(TILE_LEVEL))}) AS c")
-        .select("c.cx", "c.cy")
-        .distinct()
-        .limit(MAX_TILES + 1)
-        .collect()
-    )
-    if len(tiles) > MAX_TILES:
-        return points
+    tiles = areas.selectExpr(f"explode({cover('', str(TILE_LEVEL))}) AS c").select("c.cx", "c.cy").distinct().collect()
     size = 4.0 ** (TILE_LEVEL - 4)
+    rows: dict[int, list[int]] = {}
+    for t in tiles:
+        rows.setdefault(t.cy, []).append(t.cx)
     within = [
-        f"(minx >= {t.cx * size}D AND minx <= {(t.cx + 1) * size}D AND miny >= {t.cy * size}D AND miny <= {(t.cy + 1) * size}D)"
-        for t in tiles
+        f"(miny >= {cy * size}D AND miny <= {(cy + 1) * size}D AND minx >= {min(cxs) * size}D AND minx <= {(max(cxs) + 1) * size}D)"
+        for cy, cxs in sorted(rows.items())
     ]
-    return points.filter(" OR ".join(within) or "false")
+    packed = [str(_pack_tile(t.cx, t.cy)) + "L" for t in tiles]
+    return points.filter(" OR ".join(within) or "false").filter(f"{tile('minx', 'miny')} IN ({', '.join(packed) or 'NULL'})")
+
+
+def _pack_tile(cx: int, cy: int) -> int:
+    """The number that `tile` gives a point of this tile."""
+    return (TILE_LEVEL << 56) + ((cx + (1 << 27)) << 28) + cy + (1 << 27)
 
 
 def used_levels(df: DataFrame, column: str) -> Column:
@@ -113,28 +118,54 @@ def used_levels(df: DataFrame, column: str) -> Column:
     return df.select(column).agg(F.array_sort(F.collect_set(column))).scalar()
 
 
+def _bit(cell: str) -> str:
+    return f"pmod(xxhash64({cell}), {64 * FIELD_WORDS})"
+
+
+def cell_field(cells: DataFrame) -> Column:
+    """A bit field of hashed cells, as an uncorrelated scalar subquery of one bounded array."""
+    bit = _bit("cell")
+    words = cells.selectExpr(f"cast({bit} DIV 64 AS bigint) AS id", f"shiftleft(1L, cast({bit} % 64 AS int)) AS bit")
+    words = words.groupBy("id").agg(F.bit_or("bit").alias("word"))
+    whole = cells.sparkSession.range(FIELD_WORDS).join(words, "id", "left")
+    return whole.agg(F.expr("transform(array_sort(collect_list(struct(id, coalesce(word, 0L) AS word))), w -> w.word)")).scalar()
+
+
+def may_have(field: Column, cell: str) -> Column:
+    """Whether the field may have the cell; false for most others.
+
+    To be used as a filter, where the field is a constant and not a column of the rows."""
+    bit = _bit(cell)
+    word = F.get(field, F.expr(f"cast({bit} DIV 64 AS int)"))
+    return word.bitwiseAND(F.expr(f"shiftleft(1L, cast({bit} % 64 AS int))")) != 0
+
+
 def split_hot(left: DataFrame, right: DataFrame, split_rows: int | None):
     """Add the same join column `part` to both sides, more than one part in hot cells."""
     if split_rows is None:
         return left.withColumn("part", F.lit(0)), right.withColumn("part", F.lit(0))
-    hot = F.broadcast(
-        right.groupBy("cell")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > split_rows)
-        .orderBy(F.desc("n"), "cell")
-        .limit(MAX_HOT)
-        .selectExpr("cell", f"cast(ceil(n / {split_rows}) AS int) AS parts")
-    )
-    # spread by the row's own values, so a task that runs again spreads alike
-    row = ", ".join(f"`{c}`" for c, t in right.dtypes if "map<" not in t)
-    left = left.join(hot, "cell", "left").selectExpr(
-        *[f"`{c}`" for c in left.columns], "explode(sequence(0, coalesce(parts, 1) - 1)) AS part"
-    )
-    right = right.join(hot, "cell", "left").selectExpr(
-        *[f"`{c}`" for c in right.columns],
-        f"cast(pmod(xxhash64({row}), coalesce(parts, 1)) AS int) AS part",
-    )
-    return left, right
+
+    def crowded(df: DataFrame, name: str) -> DataFrame:
+        counts = df.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > split_rows)
+        return counts.selectExpr("cell", f"cast(ceil(n / {split_rows}) AS int) AS {name}")
+
+    # at most one row per split_rows rows of a side
+    hot = crowded(left, "l_parts").join(crowded(right, "r_parts"), "cell", "full")
+    hot = hot.selectExpr("cell", "coalesce(l_parts, 1) AS l_parts", "coalesce(r_parts, 1) AS r_parts")
+
+    def spread(df: DataFrame, own: str, other: str, part: str) -> DataFrame:
+        # by the row's own values, so a task that runs again spreads alike
+        row = ", ".join(f"`{c}`" for c, t in df.dtypes if "map<" not in t)
+        kept = [f"`{c}`" for c in df.columns]
+        dealt = df.join(hot, "cell", "left").selectExpr(
+            *kept,
+            "coalesce(r_parts, 1) AS r_parts",
+            f"cast(pmod(xxhash64({row}), coalesce({own}, 1)) AS int) AS mine",
+            f"explode(sequence(0, coalesce({other}, 1) - 1)) AS theirs",
+        )
+        return dealt.selectExpr(*kept, f"{part} AS part")
+
+    return spread(left, "l_parts", "r_parts", "mine * r_parts + theirs"), spread(right, "r_parts", "l_parts", "theirs * r_parts + mine")
 
 
 def area_cells(areas: DataFrame, payload: list[str]) -> DataFrame:
@@ -185,6 +216,7 @@ def join_points(
         *[f"{c} AS l_{c}" for c in ENVELOPE],
         f"{home_level(earned)} AS l_level",
     )
+    cells = area_cells(left, left_cols)
     right = points.selectExpr(*right_cols, "minx AS r_x", "miny AS r_y").withColumn(
         "level", F.explode(used_levels(left, "l_level"))
     )
@@ -193,8 +225,8 @@ def join_points(
         "r_x",
         "r_y",
         f"{_pack('level', _cell('r_x', 'level'), _cell('r_y', 'level'))} AS cell",
-    )
-    left, right = split_hot(area_cells(left, left_cols), right, split_rows)
+    ).filter(may_have(cell_field(cells), "cell"))
+    left, right = split_hot(cells, right, split_rows)
     in_box = "r_x BETWEEN l_minx AND l_maxx AND r_y BETWEEN l_miny AND l_maxy"
     exact = f"(l_edges IS NULL OR {G.covers_point('l_edges', 'r_x', 'r_y', strict)})"
     return left.join(right, ["cell", "part"]).filter(f"{in_box} AND {exact}").select(*left_cols, *right_cols)
@@ -213,12 +245,13 @@ def _shape_side(df: DataFrame, prefix: str, payload: list[str]) -> DataFrame:
     )
 
 
-def _shape_cells(df: DataFrame, prefix: str, other_levels: Column, home_lane: int, same: bool):
+def _shape_cells(df: DataFrame, prefix: str, other_levels: Column, home_lane: int, same: bool, field: Column | None = None):
     """Cells of a side: its home level in one lane, coarser levels of the other side.
 
     Lane 0 pairs home cells of the left side with equal or finer right shapes,
     lane 1 home cells of the right side with finer left shapes. So a pair meets on
-    the coarser of its two home levels and on no other.
+    the coarser of its two home levels and on no other. With `field`, only cells that
+    the other side may have.
     """
     home = prefix + "level"
     coarser = f"filter(other_levels, sn -> sn {'>=' if same else '>'} {home})"
@@ -231,7 +264,8 @@ def _shape_cells(df: DataFrame, prefix: str, other_levels: Column, home_lane: in
         f" flatten(transform({coarser}, sn -> {in_lane(cover(prefix, 'sn'), 1 - home_lane)})))"
     )
     kept = [f"`{c}`" for c in df.columns if c != home]
-    return df.withColumn("other_levels", other_levels).selectExpr(*kept, f"explode({cells}) AS cell")
+    df = df.withColumn("other_levels", other_levels).selectExpr(*kept, f"explode({cells}) AS cell")
+    return df if field is None else df.filter(may_have(field, "cell"))
 
 
 def join_shapes(
@@ -252,7 +286,7 @@ def join_shapes(
     right = _shape_side(shapes, "r_", right_cols)
     left_levels, right_levels = used_levels(left, "l_level"), used_levels(right, "r_level")
     left = _shape_cells(left, "l_", right_levels, home_lane=0, same=False)
-    right = _shape_cells(right, "r_", left_levels, home_lane=1, same=True)
+    right = _shape_cells(right, "r_", left_levels, home_lane=1, same=True, field=cell_field(left))
     if not refine:
         left = left.drop("l_edges", "l_starts")
         right = right.drop("r_edges", "r_starts")

@@ -130,7 +130,6 @@ def touched_areas(areas: DataFrame, touched: DataFrame) -> DataFrame:
         outer,
         geometry.filter(F.col("kind") == "P"),
         geometry.filter(F.col("kind") != "P"),
-        split_rows=None,
     ).distinct()
 
 
@@ -172,7 +171,6 @@ def rebuilt_campsites(new: Base, grid: DataFrame, affected: DataFrame, rules=SIT
         new.polys,
         grid,
         keys=affected,
-        split_rows=None,
         content_points=points_near(new.points, restrict(new.polys, affected)),
     )
     return apply_site_relations(
@@ -186,7 +184,6 @@ def rebuilt_playgrounds(new: Base, affected: DataFrame) -> DataFrame:
         new.lines,
         new.polys,
         keys=affected,
-        split_rows=None,
         content_points=points_near(new.points, restrict(new.polys, affected)),
     )
 

@@ -71,6 +71,32 @@ def test_hot_cells_are_split_without_loss(spark):
     assert join_points(left, keyed(S.table(spark, points), "b"), split_rows=50).count() == 300
 
 
+def test_more_hot_cells_than_any_list_was_long(spark):
+    """1,500 cells, each hot on both sides: every pair meets once and every part is small."""
+    side = lambda name, n: spark.range(1500 * n).selectExpr(f"id AS {name}", "id % 1500 AS cell")
+    left, right = spatial.split_hot(side("a", 20), side("b", 40), 4)
+    for df, bound in ((left, 20), (right, 40)):
+        assert df.groupBy("cell", "part").count().agg(F.max("count")).first()[0] < bound
+    pairs = left.join(right, ["cell", "part"]).groupBy("cell").agg(F.count("*").alias("n"), F.count_distinct("a", "b").alias("d"))
+    assert [tuple(r) for r in pairs.select("n", "d").distinct().collect()] == [(800, 800)]
+
+
+def test_far_points_are_dropped_before_the_exchange(spark):
+    areas = keyed(S.table(spark, [S.area(i, S.box(i, 0, i + 0.1, 0.1)) for i in range(5)]), "a")
+    field = spatial.cell_field(areas.selectExpr("hash(a) AS cell"))
+    kept = spark.range(20000).selectExpr("hash(id) AS cell").filter(spatial.may_have(field, "cell"))
+    assert kept.count() < 20
+    assert areas.selectExpr("hash(a) AS cell").filter(spatial.may_have(field, "cell")).count() == 5
+    points = keyed(S.table(spark, [S.point(i, 50 + i / 100, 60) for i in range(400)]), "b")
+    pairs = join_points(areas, points)
+    assert pairs.count() == 0
+    # the filter stands right above the copy to cells, below every exchange, and holds the field as a constant
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.splitlines() if "scalar-subquery" in line]
+    assert any("Filter" in line and "xxhash64" in line for line in lines)
+
+
+
 def test_large_area_is_cut_into_cells(spark):
     """A ring of many vertices is cut down to the edges near each cell."""
     rng = random.Random(5)
