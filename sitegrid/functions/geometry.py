@@ -158,32 +158,71 @@ def shapes_intersect(a: str, b: str) -> str:
     return f"({meets} OR {b_in_a} OR {a_in_b})"
 
 
+def _on_segment(s: str, px: str, py: str) -> str:
+    return f"({_turn(s, px, py)} = 0 AND {_in_segment_box(s, px, py)})"
+
+
+def _pieces(e: str, vertices: str) -> str:
+    """Edge `e` cut at the vertices that lie on it, as edges."""
+    ends = f"array({vertex(e + '.x1', e + '.y1')}, {vertex(e + '.x2', e + '.y2')})"
+    cuts = f"array_sort(array_distinct(concat({ends}, filter({vertices}, cv -> {_on_segment(e, 'cv.x', 'cv.y')}))))"
+    return let(cuts, "cr", ring_edges("cr"))
+
+
+def _runs_along(p: str, all_edges: str) -> str:
+    """Piece `p` lies on one edge; this holds where its middle is off the edge by rounding."""
+    return f"exists({all_edges}, re -> {_on_segment('re', p + '.x1', p + '.y1')} AND {_on_segment('re', p + '.x2', p + '.y2')})"
+
+
+def _middle(area_edges: str, p: str) -> str:
+    return locate(area_edges, f"({p}.x1 + {p}.x2) / 2", f"({p}.y1 + {p}.y2) / 2")
+
+
+def inside_points(rings: str) -> str:
+    """At least one inner point of every connected part of an area.
+
+    A scan line half-way up each ring meets the part that the ring bounds; the middle
+    of each of its inside stretches is taken.
+    """
+    return let(
+        edges(rings),
+        "ie",
+        f"array_distinct(flatten(transform({rings}, ir -> {_stretches('ie', rings, 'array(ir)')})))",
+    )
+
+
 def shape_contains(a: str, b: str) -> str:
     """Area `a` contains the area or line `b`; touching the boundary is allowed.
 
-    Every vertex of `b` is covered, no edges cross, no vertex of `a` is strictly
-    inside `b`, and one inner point of `b` is strictly inside `a` (which rejects a
-    shape that exactly fills a hole). Needs `inner_point` (a point of `b`'s inside).
+    No edges cross. Each edge of `b`, cut at the vertices of `a` that touch it, is
+    covered piece by piece, so none leads through a gap between two of them. For an
+    area, no piece of an edge of `a`, cut likewise, runs through the inside of `b`;
+    then each connected part of `b` is all inside `a` or all outside, and one point of
+    each tells. For a line, some piece lies inside. Needs `inner_points` of `b`.
     """
-    of = a + "edges"
-    covered = (
-        f"forall({b}edges, cf -> {locate(of, 'cf.x1', 'cf.y1')} <> 0"
-        f" AND {locate(of, 'cf.x2', 'cf.y2')} <> 0)"
-    )
-    crosses = let(
-        _shared_edges(a, b),
-        "near",
-        f"exists({b}edges, cf -> exists(near, ae -> {segments_cross('ae', 'cf')}))",
+    of, within = a + "edges", b + "edges"
+    near = _shared_edges(a, b)
+    crosses = f"exists({within}, cf -> exists(near, ae -> {segments_cross('ae', 'cf')}))"
+    a_vertices = f"transform(near, nv -> {vertex('nv.x1', 'nv.y1')})"
+    pieces = f"flatten(transform({within}, cf -> {_pieces('cf', 'av')}))"
+    covered = f"forall(cp, cq -> {_middle(of, 'cq')} <> 0 OR {_runs_along('cq', 'near')})"
+    some_inside = f"exists(cp, cq -> {_middle(of, 'cq')} = 1 AND NOT {_runs_along('cq', 'near')})"
+    b_vertices = f"transform({within}, bv -> {vertex('bv.x1', 'bv.y1')})"
+    cut_through = (
+        f"exists(flatten(transform(near, ae -> {_pieces('ae', 'bw')})), cq -> {_middle(within, 'cq')} = 1"
+        f" AND NOT {_runs_along('cq', within)})"
     )
     area = (
-        f"NOT exists({_shared_edges(a, b)}, ae -> {locate(b + 'edges', 'ae.x1', 'ae.y1')} = 1)"
-        f" AND {locate(of, f'{b}inner_point.x', f'{b}inner_point.y')} = 1"
+        f"NOT {let(b_vertices, 'bw', cut_through)}"
+        f" AND forall({b}inner_points, cq -> {locate(of, 'cq.x', 'cq.y')} = 1)"
     )
-    line = f"exists({b}edges, cf -> {locate(of, '(cf.x1 + cf.x2) / 2', '(cf.y1 + cf.y2) / 2')} = 1)"
-    return (
-        f"({box_covers(a, b)} AND {covered} AND NOT {crosses}"
-        f" AND CASE WHEN {b}kind = 'A' THEN {area} ELSE {line} END)"
+    tested = f"({covered} AND CASE WHEN {b}kind = 'A' THEN {area} ELSE {some_inside} END)"
+    on_pieces = let(a_vertices, "av", let(pieces, "cp", tested))
+    ends_covered = (
+        f"forall({within}, cf -> {locate(of, 'cf.x1', 'cf.y1')} <> 0 AND {locate(of, 'cf.x2', 'cf.y2')} <> 0)"
     )
+    whole = let(near, "near", f"(NOT {crosses} AND {on_pieces})")
+    return f"({box_covers(a, b)} AND {ends_covered} AND {whole})"
 
 
 def _moments(w: str, x: str, y: str) -> str:
@@ -246,11 +285,11 @@ def centroid(kind: str, rings: str) -> str:
     )
 
 
-def _inside_stretch(area_edges: str, rings: str, part: str) -> str:
-    """(width, order, x, y): widest inside stretch of a scan line half-way up `part`.
+def _stretches(area_edges: str, rings: str, part: str) -> str:
+    """(width, order, x, y) of the inside stretches of a scan line half-way up `part`.
 
     The line runs midway between the vertex heights next to the middle, so it
-    meets no vertex; null if it meets no edge.
+    meets no vertex; empty if it meets no edge.
     """
     ys = f"transform(flatten({part}), v -> v.y)"
     heights = f"transform(flatten({rings}), v -> v.y)"
@@ -269,7 +308,12 @@ def _inside_stretch(area_edges: str, rings: str, part: str) -> str:
         "named_struct('width', pp.x - get(xs, pp.i - 1), 'order', -pp.i,"
         " 'x', (pp.x + get(xs, pp.i - 1)) / 2, 'y', py)"
     )
-    return let(scan, "py", let(crossings, "xs", f"array_max(transform({pairs}, pp -> {stretch}))"))
+    return let(scan, "py", let(crossings, "xs", f"transform({pairs}, pp -> {stretch})"))
+
+
+def _inside_stretch(area_edges: str, rings: str, part: str) -> str:
+    """The widest of these stretches, null if there is none."""
+    return f"array_max({_stretches(area_edges, rings, part)})"
 
 
 def _inner_point(rings: str) -> str:
@@ -288,8 +332,13 @@ def point_on_surface(kind: str, rings: str) -> str:
     )
 
 
+def geojson_point(point: str) -> str:
+    """A GeoJSON geometry, with nine decimals."""
+    return f"named_struct('type', 'Point', 'coordinates', array(round({point}.x, 9), round({point}.y, 9)))"
+
+
 def as_geojson(point: str) -> str:
-    return f"to_json(named_struct('type', 'Point', 'coordinates', array({point}.x, {point}.y)))"
+    return f"to_json({geojson_point(point)})"
 
 
 def shape_digest(kind: str, rings: str) -> str:

@@ -114,7 +114,7 @@ def all_within(members: DataFrame, summary: DataFrame) -> DataFrame:
         "site_id",
         F.col("kind").alias("r_kind"),
         F.expr(G.edges("rings")).alias("r_edges"),
-        F.expr(G.point_on_surface("kind", "rings")).alias("r_inner_point"),
+        F.expr(G.inside_points("rings")).alias("r_inner_points"),
         *[F.col(c).alias("r_" + c) for c in ENVELOPE],
     )
     within = F.when(

@@ -201,7 +201,7 @@ def area_cells(areas: DataFrame, payload: list[str]) -> DataFrame:
 
 
 def _payload(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in ("kind", "rings", *ENVELOPE, "inner_point")]
+    return [c for c in df.columns if c not in ("kind", "rings", *ENVELOPE, "inner_points")]
 
 
 def join_points(
@@ -233,7 +233,7 @@ def join_points(
 
 
 def _shape_side(df: DataFrame, prefix: str, payload: list[str]) -> DataFrame:
-    inner = [f"inner_point AS {prefix}inner_point"] if "inner_point" in df.columns else []
+    inner = [f"inner_points AS {prefix}inner_points"] if "inner_points" in df.columns else []
     return df.selectExpr(
         *payload,
         f"kind AS {prefix}kind",
@@ -281,7 +281,7 @@ def join_shapes(
     """
     left_cols, right_cols = _payload(areas), _payload(shapes)
     if strict:
-        shapes = shapes.withColumn("inner_point", F.expr(G.point_on_surface("kind", "rings")))
+        shapes = shapes.withColumn("inner_points", F.expr(G.inside_points("rings")))
     left = _shape_side(areas, "l_", left_cols)
     right = _shape_side(shapes, "r_", right_cols)
     left_levels, right_levels = used_levels(left, "l_level"), used_levels(right, "r_level")

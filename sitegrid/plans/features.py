@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitegrid.functions.geometry import point_on_surface
+from sitegrid.functions.geometry import geojson_point, point_on_surface
 from sitegrid.functions.scalars import osm_url, round7
 from sitegrid.schema import ENVELOPE, FACILITIES
 
@@ -98,8 +98,8 @@ def feature_properties() -> Column:
         f" filter({own}, o -> NOT exists(d, x -> x.key = o.key))))[0]"
     )
     ordered = (
-        f"array_sort({merged}, (a, b) -> CASE WHEN length(a.key) <> length(b.key)"
-        " THEN length(a.key) - length(b.key) WHEN a.key < b.key THEN -1 WHEN a.key > b.key THEN 1 ELSE 0 END)"
+        f"array_sort({merged}, (a, b) -> CASE WHEN octet_length(a.key) <> octet_length(b.key)"
+        " THEN octet_length(a.key) - octet_length(b.key) WHEN a.key < b.key THEN -1 WHEN a.key > b.key THEN 1 ELSE 0 END)"
     )
     return F.expr(f"map_from_entries({ordered})")
 
@@ -111,15 +111,11 @@ def site_features(sites: DataFrame) -> DataFrame:
     prepared = sites.select(
         "osm_type", "osm_id", place.alias("place"), bbox.alias("bbox"), feature_properties().alias("properties")
     )
-    geometry = F.struct(
-        F.lit("Point").alias("type"),
-        F.array(F.col("place.x"), F.col("place.y")).alias("coordinates"),
-    )
     feature = F.struct(
         F.lit("Feature").alias("type"),
         osm_url(F.col("osm_type"), F.col("osm_id")).alias("id"),
         "bbox",
-        geometry.alias("geometry"),
+        F.expr(geojson_point("place")).alias("geometry"),
         "properties",
     )
     return prepared.select("osm_type", "osm_id", F.to_json(feature).alias("feature"))
