@@ -223,9 +223,9 @@ def yes(name: str, wrap: str = "r") -> str:
 
 @query(
     f"SELECT r.osm_type, r.osm_id, 'Feature' AS type, 'https://www.openstreetmap.org/' || {_TYPE_NAME.format('r')} || '/' || CAST(r.osm_id AS varchar) AS id,"
-    f" round({deg('b.x0')}, 6) AS west, round({deg('b.y1')}, 6) AS north, round({deg('g.x')}, 9) AS x, round({deg('g.y')}, 9) AS y,"
+    f" round({deg('b.x0')}, 7) AS west, round({deg('b.y0')}, 7) AS south, round({deg('b.x1')}, 7) AS east, round({deg('b.y1')}, 7) AS north, round({deg('g.x')}, 9) AS x, round({deg('g.y')}, 9) AS y,"
     " r.category, r.name, r.tourism, r.addr_country, r.site_relation_state, r.contains_sites,"
-    f" {yes('firepit')} AS openfire, {yes('cabin')} AS cabins, {yes('sink')} AS sink,"
+    f" {', '.join(f'{yes(n)} AS {features.PROPERTY_NAMES.get(n, n)}' for n in FACILITIES)},"
     f" CASE WHEN r.shower_rank = 4 THEN s.shower ELSE {shower_name('r.shower_rank')} END AS shower,"
     " CASE WHEN r.sport <> '' THEN '[\"' || replace(r.sport, ',', '\",\"') || '\"]' WHEN s.sport IS NOT NULL THEN '[\"' || replace(s.sport, ';', '\",\"') || '\"]' END AS sport"
     f" FROM ora_product r JOIN {_PLACE} g ON g.osm_type = r.osm_type AND g.osm_id = r.osm_id"
@@ -237,15 +237,13 @@ def geojson_features(t):
         *KEY,
         _json("$.type", "type"),
         _json("$.id", "id"),
-        F.round(_json("$.bbox[0]", "west").cast("double"), 6).alias("west"),
-        F.round(_json("$.bbox[3]", "north").cast("double"), 6).alias("north"),
-        F.round(_json("$.geometry.coordinates[0]", "x").cast("double"), 9).alias("x"),
-        F.round(_json("$.geometry.coordinates[1]", "y").cast("double"), 9).alias("y"),
+        *[_json(f"$.bbox[{i}]", side).cast("double").alias(side) for i, side in enumerate(("west", "south", "east", "north"))],
+        *[_json(f"$.geometry.coordinates[{i}]", axis).cast("double").alias(axis) for i, axis in enumerate("xy")],
         *[_json(f"$.properties.{c}", c) for c in ("category", "name", "tourism")],
         _json("$.properties['addr:country']", "addr_country"),
         *[
             _json(f"$.properties.{c}", c)
-            for c in ("site_relation_state", "contains_sites", "openfire", "cabins", "sink", "shower", "sport")
+            for c in ("site_relation_state", "contains_sites", *(features.PROPERTY_NAMES.get(n, n) for n in FACILITIES), "shower", "sport")
         ],
     )
 
@@ -300,15 +298,24 @@ def change_source(t):
     return drained.groupBy("op").agg(F.count(F.lit(1)).alias("n"), F.count("new").alias("n_new"))
 
 
+_UNTAGGED_NODES = (
+    "SELECT node_id AS id FROM fx_way_node WHERE pos > 0"
+    " UNION ALL SELECT 20000000000 + k * 32 + ring * 8 + i FROM fx_vertex WHERE osm_type = 'R' AND i > 0"
+    " UNION ALL SELECT 40000000000 + osm_id * 2 FROM fx_line UNION ALL SELECT 40000000001 + osm_id * 2 FROM fx_line"
+)
+
+
 @query(
     "SELECT 'node' AS what, osm_id AS id, true AS point_poi, true AS polygon_poi, k1 IN ('playground', 'amenity') AS line_poi FROM fx_raw_tag"
     " UNION ALL SELECT 'way', p.osm_id, p.tourism IS NOT NULL OR p.leisure IS NOT NULL OR p.amenity IS NOT NULL,"
     " p.tourism IS NOT NULL OR p.leisure IS NOT NULL OR p.amenity IS NOT NULL, p.amenity IS NOT NULL FROM fx_poly p WHERE p.osm_type = 'W'"
     " UNION ALL SELECT 'way', osm_id, true, true, true FROM fx_line"
+    f" UNION ALL SELECT 'node', id, false, false, false FROM ({_UNTAGGED_NODES})"
+    f" UNION ALL SELECT 'way', osm_id * 4 + 3000000000 + part, false, false, false FROM fx_poly, (VALUES (0), (1), (2)) AS h(part) WHERE osm_type = 'R'"
 )
 def tag_whitelist(t):
-    both = t.raw_nodes.filter("id < 10000000").select(F.lit("node").alias("what"), "id", "tags").unionByName(
-        t.raw_ways.filter("id < 3000000000").select(F.lit("way").alias("what"), "id", "tags")
+    both = t.raw_nodes.select(F.lit("node").alias("what"), "id", "tags").unionByName(
+        t.raw_ways.select(F.lit("way").alias("what"), "id", "tags")
     )
     tags = F.col("tags")
     return both.select(
@@ -329,19 +336,24 @@ def value_in_list(t):
 
 @query(
     "SELECT osm_id AS id, phone AS contact_phone, coalesce(website, url, contact_website) AS contact_website, booking AS reservation,"
-    " CAST(NULL AS varchar) AS phone, CAST(NULL AS varchar) AS url FROM fx_raw_tag",
+    " CAST(NULL AS varchar) AS phone, CAST(NULL AS varchar) AS url FROM fx_raw_tag"
+    f" UNION ALL SELECT id, NULL, NULL, NULL, NULL, NULL FROM ({_UNTAGGED_NODES})",
     name="unify_keys",
 )
 def unify_tag_keys(t):
-    unified = t.raw_nodes.filter(F.size("tags") > 0).select("id", unify_keys(F.col("tags")).alias("tags"))
+    unified = t.raw_nodes.select("id", unify_keys(F.col("tags")).alias("tags"))
     return unified.select(
         "id", tag("contact:phone"), tag("contact:website"), tag("reservation"), tag("phone"), tag("url")
     )
 
 
-@query(f"SELECT r.osm_id AS id, {_STAMP} AS ts FROM fx_raw_tag r", name="utc_timestamp")
+@query(
+    f"SELECT r.osm_id AS id, {_STAMP} AS ts FROM fx_raw_tag r"
+    f" UNION ALL SELECT id, make_timestamp(1500000000000000) FROM ({_UNTAGGED_NODES})",
+    name="utc_timestamp",
+)
 def utc_timestamps(t):
-    return t.raw_nodes.filter(F.size("tags") > 0).select("id", utc_timestamp(F.col("timestamp")).alias("ts"))
+    return t.raw_nodes.select("id", utc_timestamp(F.col("timestamp")).alias("ts"))
 
 
 @query("SELECT osm_type, osm_id, tourism FROM ora_site")
@@ -453,7 +465,7 @@ def retag_cleanup(t):
     + " FROM ora_site s WHERE shape_kind = 'P'"
 )
 def constant_columns(t):
-    built = build_campsites(t.points, t.polys.limit(0), t.country_grid)
-    return built.select(
+    built = build_campsites(t.points, t.polys, t.country_grid)
+    return built.filter("osm_type = 'N'").select(
         *KEY, "category", "shower", F.array_join("sport", ",").alias("sport"), "visible", *FACILITIES
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.input_queries import flat_playgrounds, tag
-from checks.oracle_views import FACILITY_SQL, flags, shower_name
+from checks.oracle_views import FACILITY_SQL, RELATION_SQL, flags, shower_name
 from checks.registry import query
 from sitegrid.functions.scalars import object_ref, osm_url
 from sitegrid.operators import quality, relations
@@ -102,14 +102,13 @@ def site_members_extended(t):
 @query(
     "SELECT s.site_id, s.osm_type, s.osm_id, count(DISTINCT CASE WHEN NOT p.camp THEN p.osm_type || CAST(p.osm_id AS varchar) END) AS others, "
     "count(DISTINCT CASE WHEN p.camp THEN p.osm_type || CAST(p.osm_id AS varchar) END) AS camps, "
-    + flags({"toilets": FACILITY_SQL["toilets"], "bar": FACILITY_SQL["bar"]})
+    + flags(RELATION_SQL)
     + " FROM ora_member s JOIN ora_member p ON p.site_id = s.site_id WHERE s.camp GROUP BY s.site_id, s.osm_type, s.osm_id"
 )
 def site_self_join(t):
     """Each camp member with what all members of its relation prove, without pairs."""
     members = members_of(t)
-    rules = {n: SITE_RULES_AS_WRITTEN[n] for n in ("toilets",)} | {"bar": [[("amenity", "=", "bar")]]}
-    summary = relations.relation_summary(members, rules)
+    summary = relations.relation_summary(members)
     joined = relations.camp_members(members).join(summary, "site_id")
     return joined.select("site_id", *KEY, "others", "camps", *[c.alias(n) for n, c in mask_flags("rel_mask").items()])
 

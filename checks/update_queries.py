@@ -12,6 +12,7 @@ from sitegrid.operators.facilities import is_playground, is_site
 from sitegrid.operators.relations import all_features, extend_members
 from sitegrid.operators.spatial import join_points
 from sitegrid.plans import incremental
+from sitegrid.plans.campsites import restrict
 from sitegrid.plans.incremental import Base
 from sitegrid.plans.playgrounds import build_playgrounds
 from sitegrid.schema import GEOMETRY, KEY
@@ -151,7 +152,7 @@ def affected_sites(t):
 
 @query(after(f"SELECT a.osm_type, a.osm_id FROM ({_AFFECTED}) a JOIN fx_poly p ON p.osm_type = a.osm_type AND p.osm_id = a.osm_id"))
 def restrict_to_affected(t):
-    return t.polys.join(affected(t), KEY, "left_semi").select(*KEY)
+    return restrict(t.polys, affected(t)).select(*KEY)
 
 
 @query(
@@ -161,12 +162,12 @@ def restrict_to_affected(t):
     )
 )
 def delete_using(t):
-    return all_features(t.polys, t.points).join(latest(t).select(*KEY), KEY, "left_anti").select(*KEY)
+    return incremental.without(all_features(t.polys, t.points), latest(t), KEY).select(*KEY)
 
 
-@query(after("SELECT osm_type, osm_id, max(seq) AS seq FROM fx_change GROUP BY osm_type, osm_id"))
+@query(after("SELECT osm_type, osm_id, seq FROM fx_latest"))
 def dedupe_self_join(t):
-    return t.changes.groupBy(*KEY).agg(F.max("seq").alias("seq"))
+    return incremental.latest_versions(t.changes).select(*KEY, "seq")
 
 
 @query(

@@ -39,9 +39,11 @@ class Base:
 
 
 def latest_versions(changes: DataFrame) -> DataFrame:
-    """The newest change of each object."""
+    """The newest change of each object, and in `before` what it was ahead of its first change."""
     newest_first = Window.partitionBy(*KEY).orderBy(F.desc("ts"), F.desc("seq"))
-    return changes.withColumn("n", F.row_number().over(newest_first)).filter("n = 1").drop("n")
+    whole = newest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = changes.withColumn("n", F.row_number().over(newest_first)).withColumn("before", F.last("old").over(whole))
+    return ranked.filter("n = 1").drop("n")
 
 
 def queue_flags(changes: DataFrame) -> DataFrame:
@@ -62,7 +64,11 @@ def old_images(changes: DataFrame) -> DataFrame:
 
 def new_features(latest: DataFrame) -> DataFrame:
     """New versions that are still POIs, with unified keys."""
-    image = latest.filter("new.kind IS NOT NULL").select(*KEY, "new.*")
+    return _features(latest, "new")
+
+
+def _features(latest: DataFrame, version: str) -> DataFrame:
+    image = latest.filter(f"{version}.kind IS NOT NULL").select(*KEY, f"{version}.*")
     tags, kind = F.col("tags"), F.col("kind")
     poi = (
         F.when(kind == "P", is_point_poi(tags))
@@ -98,11 +104,13 @@ def changed_relations(latest: DataFrame) -> DataFrame:
     return latest.filter("osm_type = 'R'").select(F.col("osm_id").alias("site_id"))
 
 
+def without(old: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    return old.join(keys.select(*on), on, "left_anti").select(*old.columns)
+
+
 def replace_rows(old: DataFrame, keys: DataFrame, fresh: DataFrame, on: list[str]) -> DataFrame:
     """`old` without the rows in `keys`, and the fresh rows."""
-    return old.join(keys.select(*on), on, "left_anti").select(*old.columns).unionByName(
-        fresh.select(*old.columns)
-    )
+    return without(old, keys, on).unionByName(fresh.select(*old.columns))
 
 
 def apply_changes(base: Base, latest: DataFrame) -> Base:
@@ -116,10 +124,9 @@ def apply_changes(base: Base, latest: DataFrame) -> Base:
     return Base(**tables, site_members=members)
 
 
-def touched_features(base: Base, latest: DataFrame) -> DataFrame:
-    """Old and new versions of all changed objects."""
-    before = base.features().join(latest.select(*KEY), KEY, "left_semi")
-    return before.unionByName(new_features(latest).select(*before.columns))
+def touched_features(latest: DataFrame) -> DataFrame:
+    """Old and new versions of all changed objects; the feed carries both, so no table is read."""
+    return _features(latest, "before").unionByName(new_features(latest))
 
 
 def touched_areas(areas: DataFrame, touched: DataFrame) -> DataFrame:
@@ -148,7 +155,7 @@ def relation_neighbours(old: DataFrame, new: DataFrame, latest: DataFrame) -> Da
 
 def affected_sites(old: Base, new: Base, latest: DataFrame) -> DataFrame:
     """Keys of the sites to rebuild, and of former sites to drop."""
-    touched = touched_features(old, latest)
+    touched = touched_features(latest)
     own = touched.filter(is_site(F.col("tags"))).select(*KEY)
     areas = new.polys.filter(is_site(F.col("tags")))
     around = touched_areas(areas, touched)
@@ -158,7 +165,7 @@ def affected_sites(old: Base, new: Base, latest: DataFrame) -> DataFrame:
 
 
 def affected_playgrounds(old: Base, new: Base, latest: DataFrame) -> DataFrame:
-    touched = touched_features(old, latest)
+    touched = touched_features(latest)
     own = touched.filter(is_playground(F.col("tags"))).select(*KEY)
     around = touched_areas(new.polys.filter(is_playground(F.col("tags"))), touched)
     return own.unionByName(around).dropDuplicates(KEY)

@@ -1,4 +1,6 @@
 import json
+from pathlib import Path
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +71,14 @@ def test_written_outputs(spark, sites, tmp_path):
     back = spark.read.option("wholetext", True).text(target)
     text = "".join(r.value for r in back.select("value").collect())
     assert text.count("<url>") == urls.count() and text.count('hreflang="ru"') == urls.count()
+    # every file is a whole document, also where a country has several
+    small = str(tmp_path / "small")
+    sitemaps.write_sitemaps(urls, small, per_file=5)
+    for folder, least in ((target, 1), (small, 2)):
+        files = [f for f in Path(folder).rglob("part-*") if f.is_file()]
+        roots = [ElementTree.fromstring(f.read_bytes()) for f in files]
+        assert len(files) >= least and len({f.parent for f in files}) == len(files)
+        assert sum(len(root) for root in roots) == urls.count()
     document = sitemaps.sitemap_document(urls.filter("country = 'de'")).first()[0]
     assert document.startswith("<?xml") and document.endswith("</urlset>\n")
     index = sitemaps.index_document(sitemaps.sitemap_index(sites, "https://maps.example")).first()[0]
