@@ -147,9 +147,11 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 40, rate: floa
     return model
 
 
-def train(labelled: DataFrame, text: Column | str = "text", label: Column | str = "label", order: Column | str = "doc_id", sample: int = SAMPLE) -> Model:
-    """Fit on at most `sample` rows with a label, in the order of a hash of `order`."""
-    as_column = lambda c: F.col(c) if isinstance(c, str) else c
+def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "label", sample: int = SAMPLE) -> Model:
+    """Fit on the texts of at most `sample` labels, taken in the order of a hash of the id.
+
+    labels: doc_id and label, the rows to learn from. The chosen ones are that few, so
+    they travel to the texts, which are not shuffled."""
     schema = pa.schema([("key", pa.int64()), ("label", pa.float64()), ("bag", pa.list_(pa.float32()))])
 
     def run(batches):
@@ -160,10 +162,12 @@ def train(labelled: DataFrame, text: Column | str = "text", label: Column | str
                 rows = [batch.column(i).slice(block.start, block.n) for i in range(2)]
                 yield pa.RecordBatch.from_arrays([*rows, flat], schema=schema)
 
-    rows = labelled.select(as_column(order).cast("long").alias("key"), as_column(label).cast("double").alias("label"), as_column(text).alias("text"))
-    chosen = rows.where("label IS NOT NULL").orderBy(F.xxhash64("key"), "key", F.xxhash64("text")).limit(sample)
-    got = chosen.mapInArrow(run, from_arrow_schema(schema)).toPandas()
-    got = got.sort_values("key", kind="stable")
+    given = labels.select(F.col(doc_id).cast("long").alias("key"), F.col(label).cast("double").alias("label")).where("key IS NOT NULL AND label IS NOT NULL")
+    chosen = given.orderBy(F.xxhash64("key"), "key", "label").limit(sample)
+    texts = docs.select(F.col(doc_id).cast("long").alias("key"), F.col(text).alias("text"))
+    got = texts.join(F.broadcast(chosen), "key").select("key", "label", "text").mapInArrow(run, from_arrow_schema(schema)).toPandas()
+    got["size"] = got["bag"].str.len()
+    got = got.sort_values(["key", "label", "size"], kind="stable").head(sample)
     return fit([np.asarray(b, np.float32).reshape(-1, WIDTH) for b in got["bag"]], got["label"].to_numpy(np.float64))
 
 

@@ -35,7 +35,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> attention_quality.Model:
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    return attention_quality.train(docs.where(fold(F.col("doc_id"), 5) != 0).join(labels, "doc_id"))
+    return attention_quality.train(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
 
 
 def op4_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

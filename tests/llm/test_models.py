@@ -49,8 +49,8 @@ def test_held_out_accuracy(spark, docs, rows, empty):
     junk = [(i, " ".join(w + rng.choice(["###", "***", "%%%"]) for w in prose(rng, 60).split())) for i in range(1, 100, 2)]
     labels = {i: 1 for i, _ in good} | {i: 0 for i, _ in junk}
     df = frame(spark, good + junk)
-    with_label = df.join(spark.createDataFrame(list(labels.items()), "doc_id long, label int"), "doc_id")
-    model = attention_quality.train(with_label.where((F.crc32(F.col("doc_id").cast("string")) % 5) != 0))
+    given = spark.createDataFrame([*labels.items(), (None, 1), (3, None), (10**6, 1)], "doc_id long, label int")
+    model = attention_quality.train(df, given.where((F.crc32(F.col("doc_id").cast("string")) % 5) != 0))
     got = {r.doc_id: r.score for r in attention_quality.score(df, model).collect()}
     held_out = [i for i in labels if crc(i) % 5 == 0]
     assert np.mean([(got[i] >= 0.3) == labels[i] for i in held_out]) > 0.97
@@ -58,7 +58,7 @@ def test_held_out_accuracy(spark, docs, rows, empty):
     assert len(odd) == len(rows) and all(0 <= r.score <= 1 for r in odd)
     assert len({r.score for r in odd if r.doc_id in (0, 1, 2)}) == 1
     assert attention_quality.score(empty, model).count() == 0
-    flat = attention_quality.train(with_label.where("false"))
+    flat = attention_quality.train(df, given.where("false"))
     assert {r.score for r in attention_quality.score(df, flat).collect()} == {0.5}
 
 
