@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -62,3 +63,18 @@ def clashing(df):
 
 def crc(doc_id):
     return zlib.crc32(str(doc_id).encode())
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return texts()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return clashing(frame(spark, rows))
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.where("false")

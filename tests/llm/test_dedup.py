@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 from samples import WORDS, frame, prose
+from samples import docs, empty, rows  # noqa: F401  fixtures
 
 from sitegrid.llm import simhash, substring_dedup, suffix_dedup
 from sitegrid.llm.components import components

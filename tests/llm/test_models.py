@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from samples import WORDS, crc, frame, prose
+from samples import docs, empty, rows  # noqa: F401  fixtures
 from pyspark.sql import functions as F
 
 from sitegrid.llm import attention_quality, suffix_tree_lm

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from samples import clashing, frame, prose
+from samples import docs, empty, rows  # noqa: F401  fixtures
 
 from sitegrid.llm import decontamination, secret_ledger
 

@@ -11,6 +11,7 @@ import pyarrow as pa
 import sentencepiece
 import tiktoken
 from samples import WORDS, crc, frame
+from samples import docs, empty, rows  # noqa: F401  fixtures
 from pyspark.sql import functions as F
 
 from sitegrid.llm import byte_bpe, fertility, hd_language
