@@ -77,6 +77,17 @@ def corpus_rows(seed_words: int, sieve):
     return run
 
 
+def candidates(sieve):
+    """Rows whose hash, in the last column, the sieve may have."""
+
+    def run(batches):
+        for batch in batches:
+            keep = sieve.value.may(batch.column(2).to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in range(2)], names=batch.schema.names[:2])
+
+    return run
+
+
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Smith-Waterman with a linear gap cost: best score, and the first and last aligned word of the text.
 
@@ -173,6 +184,10 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST, seed_words: i
     seeds = written(rare_seeds(grams, counts, stretch), "seeds")
     pairs = seen.join(seeds, "h").select("doc_id", "class_id").distinct()
     wanted = pairs.join(classes, "class_id").groupBy("doc_id").agg(F.collect_list(F.struct("class_id", "words")).alias("items"))
-    found = named.join(written(wanted, "candidates"), "doc_id").mapInArrow(aligned(least), from_arrow_schema(FOUND))
+    wanted = written(wanted, "candidates")
+    # only texts that may be candidates are shuffled
+    ids = docs.sparkSession.sparkContext.broadcast(bloom(wanted.select(F.xxhash64("doc_id").alias("h"))))
+    few = named.withColumn("h", F.xxhash64("doc_id")).mapInArrow(candidates(ids), named.schema)
+    found = few.join(wanted, "doc_id").select("doc_id", "text", "items").mapInArrow(aligned(least), from_arrow_schema(FOUND))
     best = found.groupBy("doc_id", "class_id").agg(F.max(F.struct("score", *FOUND.names[3:])).alias("best"))
     return best.select("doc_id", "class_id", "best.*"), members
