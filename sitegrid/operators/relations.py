@@ -22,6 +22,7 @@ from sitegrid.operators.facilities import (
     poi_shower,
     shower_label,
 )
+from sitegrid.operators.spatial import cell_field, may_have
 from sitegrid.schema import ENVELOPE, GEOMETRY, KEY
 
 # Tags of a relation that are not handed to its sites, and the markers we add.
@@ -38,14 +39,18 @@ def all_features(*tables: DataFrame) -> DataFrame:
 
 
 def extend_members(site_members: DataFrame, features: DataFrame) -> DataFrame:
-    """Members with the tags and geometry of the object they name."""
+    """Members with the tags and geometry of the object they name.
+
+    A bit field of the members' keys drops other objects next to the scan.
+    """
     named = site_members.select(
         "site_id",
         F.col("member_type").alias("osm_type"),
         F.col("member_id").alias("osm_id"),
         "site_tags",
     )
-    objects = features.select(*KEY, F.col("tags").alias("member_tags"), *GEOMETRY)
+    wanted = may_have(cell_field(named.select(F.xxhash64(*KEY).alias("cell"))), f"xxhash64({', '.join(KEY)})")
+    objects = features.filter(wanted).select(*KEY, F.col("tags").alias("member_tags"), *GEOMETRY)
     return named.join(objects, KEY)
 
 
