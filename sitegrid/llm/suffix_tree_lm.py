@@ -25,12 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from sitegrid.llm.tables import written
-from sitegrid.llm.text import LOWER, Block, Hasher, blocks, gather, mix, owners, signed, sums_by, words
+from sitegrid.llm.tables import gathered, written
+from sitegrid.llm.text import LOWER, Block, Hasher, blocks, gather, mix, owners, released, signed, sums_by, words
 
 DEPTH, LEAST_GAIN, LEAST_COUNT = 5, 12.0, 8
-MAX_STATES, MAX_ENTRIES = 200_000, 1_500_000
-COMMON = 1 << 18
+MAX_STATES, MAX_ENTRIES = 100_000, 1_000_000
+COMMON = 1 << 17
 SYMBOLS = 256
 WORD, SYMBOL = 0, 1
 END = 0  # stands for the end of a text among the hashes of words
@@ -156,9 +156,9 @@ def grow(symbols: DataFrame, depth: int = DEPTH, least_gain: float = LEAST_GAIN,
     for d in range(depth - 1, -1, -1):
         shorter = levels[d + 1].groupBy(F.col("key").bitwiseAND((1 << (8 * (d + 1))) - 1).alias("key")).agg(F.sum("n").alias("n"))
         levels[d] = written(shorter, f"symbols-{d}")
-    root_counts = levels[0].toPandas()
+    root_counts = gathered(levels[0])
     root = np.full(SYMBOLS, 0.5)
-    root[root_counts["key"].to_numpy(np.int64)] += root_counts["n"].to_numpy()
+    root[root_counts["key"]] += root_counts["n"]
     root /= root.sum()
     states = None
     for d in range(1, depth + 1):
@@ -172,24 +172,24 @@ def grow(symbols: DataFrame, depth: int = DEPTH, least_gain: float = LEAST_GAIN,
         level = level.select(F.lit(d).alias("depth"), "context", "gain", "total", "kinds")
         states = level if states is None else states.union(level)
     states = written(states, "states")
-    chosen = states.orderBy(F.desc("gain"), "depth", "context").limit(max_states).toPandas()
-    chosen = chosen[chosen["kinds"].cumsum() <= max_entries]
-    if len(chosen):
-        last = chosen.iloc[-1]
-        gain, at, context = float(last["gain"]), int(last["depth"]), int(last["context"])
-        later = (F.col("depth") > at) | ((F.col("depth") == at) & (F.col("context") > context))
-        better = (F.col("gain") > gain) | ((F.col("gain") == gain) & ~later)
-        kept = states.where(better).select("depth", "context")
+    chosen = gathered(states.orderBy(F.desc("gain"), "depth", "context").limit(max_states))
+    order = np.lexsort((chosen["context"], chosen["depth"], -chosen["gain"]))
+    order = order[np.cumsum(chosen["kinds"][order]) <= max_entries]
+    chosen = {c: x[order] for c, x in chosen.items()}
     out = []
     for d in range(1, depth + 1):
-        mine = chosen[chosen["depth"] == d].sort_values("context")
-        keys = np.zeros(0, np.uint64)
-        counts = np.zeros(0, np.float64)
+        mine = np.flatnonzero(chosen["depth"] == d)
+        mine = mine[np.argsort(chosen["context"][mine])]
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if len(mine):
+            gain, at, context = (chosen[c][-1].item() for c in ("gain", "depth", "context"))  # of the last state in the tree
+            later = (F.col("depth") > at) | ((F.col("depth") == at) & (F.col("context") > context))
+            kept = states.where((F.col("depth") == d) & ((F.col("gain") > gain) | ((F.col("gain") == gain) & ~later))).select("context")
             # as many rows as the chosen states have symbols, which max_entries bounds
-            rows = levels[d].withColumn("context", F.shiftright("key", 8)).join(kept.where(F.col("depth") == d).select("context"), "context").select("key", "n").toPandas().sort_values("key")
-            keys, counts = rows["key"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.float64)
-        out.append((mine["context"].to_numpy(np.int64).view(np.uint64), mine["total"].to_numpy(np.float64), mine["kinds"].to_numpy(np.float64), keys, counts))
+            rows = gathered(levels[d].withColumn("context", F.shiftright("key", 8)).join(kept, "context").select("key", "n"))
+            by_key = np.argsort(rows["key"])
+            keys, counts = rows["key"][by_key], rows["n"][by_key]
+        out.append((chosen["context"][mine].view(np.uint64), chosen["total"][mine].astype(np.float64), chosen["kinds"][mine].astype(np.float64), keys.view(np.uint64), counts.astype(np.float64)))
     return Tree(out, root)
 
 
@@ -246,18 +246,18 @@ def score(docs: DataFrame, training: Column, text: Column | str = "text", doc_id
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every text; learned from rows where `training` holds."""
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
     spark = docs.sparkSession
-    counted = docs.where(training).select(as_column(text).alias("text")).mapInArrow(count_rows(), from_arrow_schema(COUNT))
+    counted = docs.where(training).select(as_column(text).alias("text")).mapInArrow(released(count_rows()), from_arrow_schema(COUNT))
     counted = written(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     tokens = counted.where(F.col("kind") == WORD).select("key", "n")
     tree = spark.sparkContext.broadcast(grow(counted.where(F.col("kind") == SYMBOL).select("key", "n")))
     total, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log_of = lambda c: np.log10((c + 0.1) / (total + 0.1 * (distinct + 1)))
     ends = tokens.where(F.col("key") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    top = tokens.where(F.col("key") != END).orderBy(F.desc("n"), "key").limit(COMMON).toPandas()
-    common = spark.sparkContext.broadcast((top["key"].to_numpy(np.int64).view(np.uint64), log_of(top["n"].to_numpy(np.float64))))
+    top = gathered(tokens.where(F.col("key") != END).orderBy(F.desc("n"), "key").limit(COMMON))
+    common = spark.sparkContext.broadcast((top["key"].view(np.uint64), log_of(top["n"].astype(np.float64))))
     known_end = int(ends > 0)
     narrow = docs.select(F.monotonically_increasing_id().alias("row"), as_column(doc_id).cast("long").alias("doc_id"), as_column(text).alias("text"))
-    parts = narrow.mapInArrow(score_rows(tree, common, float(log_of(ends))), from_arrow_schema(PART))
+    parts = narrow.mapInArrow(released(score_rows(tree, common, float(log_of(ends)))), from_arrow_schema(PART))
     # the commonest words are done, so no word left is in many texts
     joined = parts.join(tokens.where(F.col("key") != END).withColumnRenamed("n", "c"), "key", "left")
     is_word = F.col("score").isNull()
