@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from sitegrid.llm.text import LOWER, Block, Hasher, blocks, words
+from sitegrid.llm.text import LOWER, Block, Hasher, blocks, released, words
 
 PASSAGE_WORDS, MAX_PASSAGES = 64, 64
 SAMPLE, HIDDEN, ATTENTION = 8000, 16, 8
@@ -165,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     given = labels.select(F.col(doc_id).cast("long").alias("key"), F.col(label).cast("double").alias("label")).where("key IS NOT NULL AND label IS NOT NULL")
     chosen = given.orderBy(F.xxhash64("key"), "key", "label").limit(sample)
     texts = docs.select(F.col(doc_id).cast("long").alias("key"), F.col(text).alias("text"))
-    got = texts.join(F.broadcast(chosen), "key").select("key", "label", "text").mapInArrow(run, from_arrow_schema(schema)).toPandas()
+    got = texts.join(F.broadcast(chosen), "key").select("key", "label", "text").mapInArrow(released(run), from_arrow_schema(schema)).toPandas()
     got["size"] = got["bag"].str.len()
     got = got.sort_values(["key", "label", "size"], kind="stable").head(sample)
     return fit([np.asarray(b, np.float32).reshape(-1, WIDTH) for b in got["bag"]], got["label"].to_numpy(np.float64))
@@ -188,4 +188,4 @@ def score_rows(docs: DataFrame, model: Model, text: str = "text", into: str = "s
             scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, into])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)

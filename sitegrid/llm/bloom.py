@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from sitegrid.llm.text import released
+
 U64 = np.uint64
 #: 256 blocks of 2**18 bits: 8 MB, whatever the number of hashes
 BLOCKS, BITS = 256, 18
@@ -48,7 +50,7 @@ def bloom(hashes: DataFrame, column: str = "h") -> Bloom:
 
     dealt = hashes.select(F.col(column).alias("h")).repartition(F.shiftrightunsigned("h", 56))
     bits = np.zeros(BLOCKS << (BITS - 3), np.uint8)
-    for row in dealt.mapInArrow(run, from_arrow_schema(schema)).collect():
+    for row in dealt.mapInArrow(released(run), from_arrow_schema(schema)).collect():
         part = np.frombuffer(row["bits"], np.uint8)
         bits[row["block"] * len(part) : (row["block"] + 1) * len(part)] = part
     return Bloom(bits)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from sitegrid.llm.text import Block, Hasher, blocks, gather, owners, sums_by
+from sitegrid.llm.text import Block, Hasher, blocks, gather, owners, released, sums_by
 
 U64 = np.uint64
 NEVER = np.iinfo(np.int64).max
@@ -191,7 +191,7 @@ def slices(block: Block) -> tuple[np.ndarray, np.ndarray]:
 class Vocabulary:
     """Ranks of a rank file, their bytes, and merged slices seen so far."""
 
-    def __init__(self, path: str, remember: int = 200_000):
+    def __init__(self, path: str, remember: int = 50_000):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
         size = max(self.ranks.values()) + 1
@@ -376,7 +376,8 @@ def _run(docs: DataFrame, path: str, text: Column | str, doc_id: Column | str, w
                 else:
                     columns = [np.diff(first), _digests(ids, first), _digests(back, until)]
                 yield pa.RecordBatch.from_arrays([rows, *(pa.array(c, t) for c, (_, t) in zip(columns, fields[1:], strict=True))], schema=schema)
+        vocabulary.known.clear()
 
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
     narrow = docs.select(as_column(doc_id).cast("long").alias("doc_id"), as_column(text).alias("text"))
-    return narrow.mapInArrow(run, from_arrow_schema(schema))
+    return narrow.mapInArrow(released(run), from_arrow_schema(schema))

@@ -23,7 +23,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from sitegrid.llm.bloom import bloom
 from sitegrid.llm.tables import written
-from sitegrid.llm.text import Block, Hasher, blocks, lists, ngrams, owners, signed, sliding, spans, starts_of
+from sitegrid.llm.text import Block, Hasher, blocks, lists, ngrams, owners, released, signed, sliding, spans, starts_of
 
 SEED_WORDS, STRETCH = 3, 2
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -160,7 +160,7 @@ def rare_seeds(grams: DataFrame, counts: DataFrame, stretch: int) -> DataFrame:
             yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["class_id", "h"]).astype("int64"), preserve_index=False)
 
     counted = grams.join(counts, "h", "left").groupBy("class_id").agg(F.collect_list(F.struct("at", "h", F.coalesce("n", F.lit(0)).alias("n"))).alias("grams"))
-    return counted.mapInArrow(run, "class_id long, h long").distinct()
+    return counted.mapInArrow(released(run), "class_id long, h long").distinct()
 
 
 def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST, seed_words: int = SEED_WORDS, stretch: int = STRETCH, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> tuple[DataFrame, DataFrame]:
@@ -171,7 +171,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST, seed_words: i
     lower = lambda c: F.translate(F.lower(F.col(c)), "\u0000", " ")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), lower(text).alias("text"))
     tests = items.select(F.col(item_id).cast("long").alias("item_id"), lower(item_text).alias("text"))
-    rows = written(tests.where("item_id IS NOT NULL").mapInArrow(item_rows(seed_words), from_arrow_schema(ITEM)), "item-grams")
+    rows = written(tests.where("item_id IS NOT NULL").mapInArrow(released(item_rows(seed_words)), from_arrow_schema(ITEM)), "item-grams")
     one = rows.where("at = 0").select("item_id", "words")
     members = one.groupBy("words").agg(F.min("item_id").alias("class_id"), F.collect_set("item_id").alias("ids")).select(F.explode("ids").alias("item_id"), "class_id")
     members = written(members, "item-classes")
@@ -179,7 +179,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST, seed_words: i
     grams = rows.join(members, "item_id").where("item_id = class_id").select("class_id", "at", "h").distinct()
     sieve = docs.sparkSession.sparkContext.broadcast(bloom(grams.select("h").distinct()))
     named = texts.where("doc_id IS NOT NULL")
-    seen = written(named.mapInArrow(corpus_rows(seed_words, sieve), from_arrow_schema(SEED)).groupBy("doc_id", "h").agg(F.count("*").alias("n")), "seed-hits")
+    seen = written(named.mapInArrow(released(corpus_rows(seed_words, sieve)), from_arrow_schema(SEED)).groupBy("doc_id", "h").agg(F.count("*").alias("n")), "seed-hits")
     counts = seen.groupBy("h").agg(F.sum("n").alias("n"))
     seeds = written(rare_seeds(grams, counts, stretch), "seeds")
     pairs = seen.join(seeds, "h").select("doc_id", "class_id").distinct()
@@ -187,7 +187,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST, seed_words: i
     wanted = written(wanted, "candidates")
     # only texts that may be candidates are shuffled
     ids = docs.sparkSession.sparkContext.broadcast(bloom(wanted.select(F.xxhash64("doc_id").alias("h"))))
-    few = named.withColumn("h", F.xxhash64("doc_id")).mapInArrow(candidates(ids), named.schema)
-    found = few.join(wanted, "doc_id").select("doc_id", "text", "items").mapInArrow(aligned(least), from_arrow_schema(FOUND))
+    few = named.withColumn("h", F.xxhash64("doc_id")).mapInArrow(released(candidates(ids)), named.schema)
+    found = few.join(wanted, "doc_id").select("doc_id", "text", "items").mapInArrow(released(aligned(least)), from_arrow_schema(FOUND))
     best = found.groupBy("doc_id", "class_id").agg(F.max(F.struct("score", *FOUND.names[3:])).alias("best"))
     return best.select("doc_id", "class_id", "best.*"), members

@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from sitegrid.llm.byte_bpe import encode, vocabulary_of
 from sitegrid.llm.tables import written
-from sitegrid.llm.text import Block, Hasher, blocks, gather, ngrams, owners, spans, starts_of, sums_by, words
+from sitegrid.llm.text import Block, Hasher, blocks, gather, ngrams, owners, released, spans, starts_of, sums_by, words
 
 U64 = np.uint64
 #: fixed values: the characters counted as symbols
@@ -147,7 +147,7 @@ def measures(docs: DataFrame, piece_path: str, pair_path: str | None = None, tex
 
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
     narrow = docs.select(as_column(doc_id).cast("long").alias("doc_id"), F.coalesce(as_column(group).cast("string"), F.lit("und")).alias("lang"), as_column(text).alias("text"))
-    return narrow.mapInArrow(run, from_arrow_schema(SCHEMA))
+    return narrow.mapInArrow(released(run), from_arrow_schema(SCHEMA))
 
 
 def base_failed() -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from sitegrid.llm.byte_bpe import CONTRACTION, LETTER, code_point_classes, code_points
-from sitegrid.llm.text import Block, blocks, owners, starts_of
+from sitegrid.llm.text import Block, blocks, owners, released, starts_of
 
 DIMENSIONS, N, SEED = 1024, 3, 7
 BITS = 21  # of a code point
@@ -148,7 +148,7 @@ def prototypes(docs: DataFrame, text: Column | str, lang: Column | str, dimensio
 
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
     fit = docs.select(as_column(lang).cast("string").alias("lang"), as_column(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    total = fit.mapInArrow(run, from_arrow_schema(schema)).groupBy("lang", "dim").agg(F.sum("value").alias("value")).toPandas()
+    total = fit.mapInArrow(released(run), from_arrow_schema(schema)).groupBy("lang", "dim").agg(F.sum("value").alias("value")).toPandas()
     if total.empty:
         return [], np.zeros((0, dimensions))
     table = total.pivot(index="lang", columns="dim", values="value").sort_index()
@@ -187,4 +187,4 @@ def identify(docs: DataFrame, names: list[str], vectors: np.ndarray, text: Colum
 
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
     narrow = docs.select(as_column(doc_id).cast("long").alias("doc_id"), as_column(text).alias("text"))
-    return narrow.mapInArrow(run, from_arrow_schema(schema))
+    return narrow.mapInArrow(released(run), from_arrow_schema(schema))

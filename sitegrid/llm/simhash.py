@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from sitegrid.llm.components import components
 from sitegrid.llm.tables import written
-from sitegrid.llm.text import LOWER, Block, blocks, gather, words
+from sitegrid.llm.text import LOWER, Block, blocks, gather, released, words
 
 SHINGLE, SEED, MAX_BITS, BYTES = 4, 42, 4, 8
 SHARED = BYTES - MAX_BITS
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE, text: Column | str = "tex
 
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
     narrow = docs.select(as_column(doc_id).cast("long").alias("doc_id"), as_column(text).alias("text"))
-    return narrow.mapInArrow(run, from_arrow_schema(schema))
+    return narrow.mapInArrow(released(run), from_arrow_schema(schema))
 
 
 MASKS = np.array([sum(0xFF << (8 * p) for p in chosen) for chosen in combinations(range(BYTES), SHARED)], np.uint64)
@@ -205,11 +205,11 @@ def chained(batches):
 def links(distinct: DataFrame, limit: int = LIMIT) -> DataFrame:
     """(a, b): links that connect all fingerprints at most MAX_BITS bits apart. distinct: column fp."""
     pair, link = from_arrow_schema(PAIR), from_arrow_schema(LINK)
-    index = distinct.mapInArrow(postings, pair).repartition("key").sortWithinPartitions("key")
-    found = written(index.mapInArrow(compared(limit), link), "simhash-links")
+    index = distinct.mapInArrow(released(postings), pair).repartition("key").sortWithinPartitions("key")
+    found = written(index.mapInArrow(released(compared(limit)), link), "simhash-links")
     hot = found.where("hot").select(F.col("a").alias("fp")).distinct()
-    wide = hot.mapInArrow(neighbourhoods, pair).repartition("key").sortWithinPartitions("key")
-    return found.where("NOT hot").select("a", "b").union(wide.mapInArrow(chained, link).select("a", "b"))
+    wide = hot.mapInArrow(released(neighbourhoods), pair).repartition("key").sortWithinPartitions("key")
+    return found.where("NOT hot").select("a", "b").union(wide.mapInArrow(released(chained), link).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, text: Column | str = "text", doc_id: Column | str = "doc_id") -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from sitegrid.llm.bloom import bloom
 from sitegrid.llm.tables import written
-from sitegrid.llm.text import Block, Hasher, anchors, blocks, gather, listed, lists, ngrams, owners, signed, starts_of, strings, sums_by, words
+from sitegrid.llm.text import Block, Hasher, anchors, blocks, gather, listed, lists, ngrams, owners, released, signed, starts_of, strings, sums_by, words
 
 WINDOW = 13
 #: documents of one window that one task takes
@@ -173,18 +173,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, split: int = SPLIT, te
     texts = docs.select(as_column(doc_id).cast("long").alias("doc_id"), as_column(text).alias("text"))
     named = texts.where("doc_id IS NOT NULL")
     anchor, spark = from_arrow_schema(ANCHOR), docs.sparkSession
-    counted = named.mapInArrow(anchor_rows(window), anchor).groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    counted = named.mapInArrow(released(anchor_rows(window)), anchor).groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     repeated = written(counted, "repeated-halves")
     sieve = spark.sparkContext.broadcast(bloom(repeated))
-    hits = named.mapInArrow(anchor_rows(window, sieve), anchor).join(repeated, "h")
+    hits = named.mapInArrow(released(anchor_rows(window, sieve)), anchor).join(repeated, "h")
     per_doc = hits.groupBy("doc_id").agg(F.collect_set(F.struct("h", "n")).alias("found"))
     per_doc = per_doc.select("doc_id", "found.h", "found.n")
     # from here on nothing is written: both joins take the texts from one shuffle, both uses of `first` one as well
-    found = texts.join(per_doc, "doc_id", "left").select("doc_id", "text", "h", "n").mapInArrow(window_rows(window, split), from_arrow_schema(WHOLE))
+    found = texts.join(per_doc, "doc_id", "left").select("doc_id", "text", "h", "n").mapInArrow(released(window_rows(window, split)), from_arrow_schema(WHOLE))
     dealt = found.repartition("w1", "w2", "part").sortWithinPartitions("w1", "w2", "part", "doc_id")
-    first = dealt.mapInArrow(later, from_arrow_schema(REMOVED))
+    first = dealt.mapInArrow(released(later), from_arrow_schema(REMOVED))
     again = first.where("again").select("w1", "w2", F.lit(0).alias("part"), "doc_id")
-    again = again.repartition("w1", "w2").sortWithinPartitions("w1", "w2", "doc_id").mapInArrow(later, from_arrow_schema(REMOVED))
+    again = again.repartition("w1", "w2").sortWithinPartitions("w1", "w2", "doc_id").mapInArrow(released(later), from_arrow_schema(REMOVED))
     removed = first.where("NOT again").select("doc_id", "w1").union(again.select("doc_id", "w1"))
     lists_of = removed.groupBy("doc_id").agg(F.collect_list("w1").alias("w1"))
-    return texts.join(lists_of, "doc_id", "left").select("doc_id", "text", "w1").mapInArrow(cut(window), from_arrow_schema(RESULT))
+    return texts.join(lists_of, "doc_id", "left").select("doc_id", "text", "w1").mapInArrow(released(cut(window)), from_arrow_schema(RESULT))
