@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from sitegrid.llm.bloom import bloom
 from sitegrid.llm.tables import written
-from sitegrid.llm.text import Block, Hasher, blocks, gather, listed, lists, mix, owners, signed, sliding, strings
+from sitegrid.llm.text import Block, Hasher, blocks, gather, listed, lists, mix, owners, released, signed, sliding, strings
 
 WINDOW, BASE, SYMBOLS = 200, 40, 5
 BATCH, LIMIT, SHARDS = 1 << 20, 1 << 20, 4
@@ -177,24 +177,36 @@ class Collection:
         """Positions low..high (whole strings) in suffix order, by doubling; ends of sequences come first, in order of place."""
         n = high - low
         whole = self.whole[low:high]
-        symbol = self.symbol[low:high]
         ends = int((~whole).sum())
         rank = np.empty(n, np.int64)
         rank[~whole] = np.arange(ends)
-        rank[whole] = ends + pd.factorize(symbol[whole], sort=True)[0]
-        step = self.size
+        rank[whole] = ends + self.symbol[low:high][whole]
+        order = stable_order(rank)
+        step = 0
         while True:
-            order = np.argsort(rank, kind="stable")
             ordered = rank[order]
-            if n < 2 or (ordered[1:] != ordered[:-1]).all():
+            new = np.append(True, ordered[1:] != ordered[:-1])
+            if step:
+                ahead_ordered = follows[order]
+                new[1:] |= ahead_ordered[1:] != ahead_ordered[:-1]
+            rank = np.empty(n, np.int64)
+            rank[order] = np.cumsum(new) - 1
+            if new.all():
                 return order + low
-            ahead = np.arange(n) + step
-            follows = rank[np.minimum(ahead, n - 1)]
+            step = 2 * step or self.size
+            follows = rank[np.minimum(np.arange(n) + step, n - 1)]
             follows[rank < ends] = 0  # an end is unique already
-            key = rank * (n + 1) + follows
-            kinds = pd.factorize(key, sort=True)[0]
-            rank = kinds
-            step *= 2
+            order = stable_order(follows)
+            order = order[stable_order(rank[order])]
+
+
+def stable_order(keys: np.ndarray) -> np.ndarray:
+    """Stable order of small non-negative numbers, 16 bits at a time, which numpy sorts by counting."""
+    order = np.argsort(keys.astype(np.uint16), kind="stable")
+    high = keys >> 16
+    if len(keys) and high.max():
+        order = order[np.argsort(high[order].astype(np.uint16), kind="stable")]
+    return order
 
 
 def merged(collection: Collection, cuts: list[int], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -222,7 +234,7 @@ def merged(collection: Collection, cuts: list[int], depth: int) -> tuple[np.ndar
         symbols[by_shard] = before
         block = np.cumsum(boundary)
         has = np.flatnonzero(symbols >= 0)
-        order = has[np.argsort(symbols[has], kind="stable")]
+        order = has[stable_order(symbols[has])]
         shard = np.concatenate([first_shards, shard[order]])
         new = np.ones(len(shard), bool)
         new[n_ends + 1 :] = (symbols[order][1:] != symbols[order][:-1]) | (block[order][1:] != block[order][:-1])
@@ -264,7 +276,14 @@ def merged_buckets(window: int, batch_bytes: int = BATCH, limit: int = LIMIT):
     up to about batch_bytes. Segments of larger buckets go out with their bytes."""
 
     def done(frame: pd.DataFrame) -> pa.RecordBatch:
-        runs = repeated_windows(frame["segment"].tolist(), frame["n"].to_numpy(), window)
+        # a bucket of one segment is an interval already
+        alone = ~frame["h"].duplicated(keep=False).to_numpy()
+        n, parts = frame["n"].to_numpy(), frame["segment"].to_numpy()
+        runs = [np.array([0, len(part) - window + 1] if often else [], np.int32) for part, often in zip(parts, n >= 2, strict=True)]
+        together = np.flatnonzero(~alone)
+        if len(together):
+            for k, found in zip(together.tolist(), repeated_windows(parts[together].tolist(), n[together], window), strict=True):
+                runs[k] = found
         size = len(frame)
         return pa.RecordBatch.from_arrays([pa.array(frame["h"].to_numpy()), pa.array(frame["g"].to_numpy()), pa.array(runs, pa.list_(pa.int32())), pa.nulls(size, pa.binary()), pa.nulls(size, pa.int64())], schema=RUNS)
 
@@ -374,21 +393,21 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text: Column | str = "
     texts = texts.withColumn("row", F.xxhash64("doc_id", "text"))
     anchor = from_arrow_schema(ANCHOR)
     narrow = texts.select("row", "text")
-    counted = narrow.mapInArrow(anchor_rows(window), anchor).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+    counted = narrow.mapInArrow(released(anchor_rows(window)), anchor).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
     repeated = written(counted.select("h"), "repeated-representatives")
     sieve = spark.sparkContext.broadcast(bloom(repeated))
-    hits = narrow.mapInArrow(anchor_rows(window, sieve), anchor).select("h", "row").join(repeated, "h")
+    hits = narrow.mapInArrow(released(anchor_rows(window, sieve)), anchor).select("h", "row").join(repeated, "h")
     per_row = written(hits.groupBy("row").agg(F.collect_list("h").alias("hs")), "representatives")
     # the three joins with the texts have one plan below, so the texts are shuffled once
     marked = texts.join(per_row, "row", "left")
     found = marked.select("row", "text", "hs")
-    distinct = found.mapInArrow(segment_rows(window, True), from_arrow_schema(SEGMENT)).groupBy("h", "g", "segment").agg(F.sum("n").alias("n"))
+    distinct = found.mapInArrow(released(segment_rows(window, True)), from_arrow_schema(SEGMENT)).groupBy("h", "g", "segment").agg(F.sum("n").alias("n"))
     dealt = distinct.repartition("h").sortWithinPartitions("h", "g")
-    merged_runs = written(dealt.mapInArrow(merged_buckets(window, BATCH, limit), from_arrow_schema(RUNS)), "runs")
-    single = merged_runs.where("segment IS NOT NULL").select("h", "g", "segment", "n").mapInArrow(single_windows(window), from_arrow_schema(SINGLE))
+    merged_runs = written(dealt.mapInArrow(released(merged_buckets(window, BATCH, limit)), from_arrow_schema(RUNS)), "runs")
+    single = merged_runs.where("segment IS NOT NULL").select("h", "g", "segment", "n").mapInArrow(released(single_windows(window)), from_arrow_schema(SINGLE))
     often = single.groupBy("w1", "w2").agg(F.sum("n").alias("total")).where("total > 1")
     rest = single.join(often, ["w1", "w2"]).groupBy("h", "g").agg(F.flatten(F.collect_list(F.array(F.col("at"), F.col("at") + 1))).alias("runs"))
     runs = merged_runs.where("segment IS NULL AND size(runs) > 0").select("h", "g", "runs").union(rest)
-    members = found.mapInArrow(segment_rows(window, False), from_arrow_schema(MEMBER)).join(runs, ["h", "g"])
+    members = found.mapInArrow(released(segment_rows(window, False)), from_arrow_schema(MEMBER)).join(runs, ["h", "g"])
     lists_of = members.groupBy("row").agg(F.collect_list(F.struct("h", "g", "runs")).alias("found")).select("row", "found.h", "found.g", "found.runs")
-    return texts.join(lists_of, "row", "left").select("doc_id", "text", "h", "g", "runs").mapInArrow(cut(window), from_arrow_schema(RESULT))
+    return texts.join(lists_of, "row", "left").select("doc_id", "text", "h", "g", "runs").mapInArrow(released(cut(window)), from_arrow_schema(RESULT))
