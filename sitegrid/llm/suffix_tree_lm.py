@@ -7,9 +7,11 @@ suffix: the log-likelihood gained by it over the training text is the test. The
 symbol's distribution is smoothed with that of the longest shorter context in the tree,
 and a text is scored with the longest context in the tree at every symbol.
 
-The tree is bounded (`MAX_STATES`, `MAX_ENTRIES`, best gains first), so it may travel to
-every task. Word counts, for the base score, are not: the commonest words travel, the
-others meet the texts in a join. Counts of words and of symbols cover all training texts.
+The test alone decides what the tree holds. Its best states by gain, up to `MAX_STATES`
+and `MAX_ENTRIES`, travel to every task. Symbols with a context among the other states are
+scored once per distinct context in a table, and meet the texts in a join. Words, for the
+base score, do likewise: the commonest travel, the others are joined. Counts of words and
+of symbols cover all training texts.
 
 Null and empty texts have no words, one end and a score for it. Rows are scored one by
 one, rows with one id too. Without training rows all probabilities are uniform. Word
@@ -25,21 +27,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from sitegrid.llm.bloom import Bloom, bloom
 from sitegrid.llm.tables import gathered, written
 from sitegrid.llm.text import LOWER, Block, Hasher, blocks, gather, mix, owners, released, signed, sums_by, words
 
 DEPTH, LEAST_GAIN, LEAST_COUNT = 5, 12.0, 8
+#: what travels to every task; the rest of the tree is joined
 MAX_STATES, MAX_ENTRIES = 100_000, 1_000_000
 COMMON = 1 << 17
 SYMBOLS = 256
 WORD, SYMBOL = 0, 1
+SHARED = 2  # last bytes of a context by which the rest of the tree is dealt
 END = 0  # stands for the end of a text among the hashes of words
 
 HASH = Hasher(seed=9, lower=True)
 U64 = np.uint64
 
 COUNT = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
-PART = pa.schema([("row", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+PART = pa.schema([("row", pa.int64()), ("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
 
 
 def sequences(block: Block) -> tuple[np.ndarray, np.ndarray, tuple]:
@@ -150,8 +155,11 @@ class Tree:
         return np.log10(p)
 
 
-def grow(symbols: DataFrame, depth: int = DEPTH, least_gain: float = LEAST_GAIN, least_count: int = LEAST_COUNT, max_states: int = MAX_STATES, max_entries: int = MAX_ENTRIES) -> Tree:
-    """The tree of packed symbol counts (key, n), through one aggregation per depth."""
+def grow(symbols: DataFrame, depth: int = DEPTH, least_gain: float = LEAST_GAIN, least_count: int = LEAST_COUNT, max_states: int = MAX_STATES, max_entries: int = MAX_ENTRIES) -> tuple[Tree, DataFrame | None, DataFrame]:
+    """The tree of packed symbol counts (key, n), through one aggregation per depth.
+
+    Its best states within the limits; the other states, if any, with depth and context;
+    and the counts after all states: depth, key, n, total and kinds."""
     levels = {depth: symbols.select("key", "n")}
     for d in range(depth - 1, -1, -1):
         shorter = levels[d + 1].groupBy(F.col("key").bitwiseAND((1 << (8 * (d + 1))) - 1).alias("key")).agg(F.sum("n").alias("n"))
@@ -190,11 +198,114 @@ def grow(symbols: DataFrame, depth: int = DEPTH, least_gain: float = LEAST_GAIN,
             by_key = np.argsort(rows["key"])
             keys, counts = rows["key"][by_key], rows["n"][by_key]
         out.append((chosen["context"][mine].view(np.uint64), chosen["total"][mine].astype(np.float64), chosen["kinds"][mine].astype(np.float64), keys.view(np.uint64), counts.astype(np.float64)))
-    return Tree(out, root)
+    rest = None
+    if len(order) < states.count():
+        rest = states
+        if len(order):
+            gain, at, context = (chosen[c][-1].item() for c in ("gain", "depth", "context"))
+            rest = states.where((F.col("gain") < gain) | ((F.col("gain") == gain) & ((F.col("depth") > at) | ((F.col("depth") == at) & (F.col("context") > context)))))
+        rest = rest.select("depth", "context")
+    after = None
+    for d in range(1, depth + 1):
+        own = levels[d].withColumn("context", F.shiftright("key", 8)).join(states.where(F.col("depth") == d).select("context", "total", "kinds"), "context")
+        own = own.select(F.lit(d).alias("depth"), "key", "n", "total", "kinds")
+        after = own if after is None else after.union(own)
+    return Tree(out, root), rest, after
+
+
+def state_hashes(depth, context: np.ndarray) -> np.ndarray:
+    return mix(context ^ (np.asarray(depth).astype(np.uint64) << U64(56)))
+
+
+def hashed_states(batches):
+    for batch in batches:
+        depth, context = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(signed(state_hashes(depth, context.view(np.uint64))))], names=["h"])
+
+
+def may_need(packed: np.ndarray, sieve: Bloom) -> np.ndarray:
+    """True for all packed keys with a context among the states of the sieve, and for few others."""
+    out = np.zeros(len(packed), bool)
+    for d in range(1, DEPTH + 1):
+        left = np.flatnonzero(~out)
+        out[left] = sieve.may(state_hashes(d, (packed[left] >> U64(8)) & U64((1 << (8 * d)) - 1)))
+    return out
+
+
+def needed(sieve):
+    """Packed keys that may have a context among the states of the sieve."""
+
+    def run(batches):
+        for batch in batches:
+            keys = batch.column(0).to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(keys[may_need(keys, sieve.value)]))], names=["key"])
+
+    return run
 
 
-def score_rows(tree, common, end: float):
-    """One row per text with its score and the base score of its end and common words; one per other word of it."""
+def level(keys: np.ndarray, n: np.ndarray, totals: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """States and counts of one depth, as a tree has them, from the rows of its counts."""
+    by_key = np.argsort(keys)
+    keys, n, totals, kinds = keys[by_key], n[by_key], totals[by_key], kinds[by_key]
+    states, at = np.unique(keys >> U64(8), return_index=True)
+    return states, totals[at], kinds[at], keys, n
+
+
+def looked_up(shallow, size: int = 1 << 16):
+    """Log probabilities of packed keys. Rows come sorted by group and depth, and the keys to look up after the counts of their group."""
+
+    def run(batches):
+        root, first = shallow.value
+        held: list[np.ndarray] | None = None
+        parts: list[list[np.ndarray]] = []
+
+        def evaluate():
+            nonlocal held, parts
+            columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+            parts = []
+            ask = columns[1] > DEPTH
+            packed = columns[2][ask].view(np.uint64)
+            known = [c[~ask] for c in columns]
+            if held is not None:
+                known = [np.append(a, b) for a, b in zip(held, known, strict=True)]
+            levels = list(first)
+            for d in range(SHARED, DEPTH + 1):
+                mine = known[1] == d
+                levels.append(level(known[2][mine].view(np.uint64), *(c[mine].astype(np.float64) for c in known[3:])))
+            # the counts of the last group serve the keys that follow
+            held = [c[known[0] == columns[0][-1]] for c in known]
+            return pa.RecordBatch.from_arrays([pa.array(signed(packed)), pa.array(Tree(levels, root).log_probability(packed))], names=["key", "p"])
+
+        for batch in batches:
+            if batch.num_rows:
+                parts.append([batch.column(i).to_numpy() for i in range(6)])
+            if sum(len(p[0]) for p in parts) >= size:
+                yield evaluate()
+        if parts:
+            yield evaluate()
+
+    return run
+
+
+def log_probabilities(keys: DataFrame, after: DataFrame, root: np.ndarray) -> DataFrame:
+    """key and p, its log10 probability under the whole tree. keys: distinct packed keys.
+
+    All contexts of a key from two bytes on end in the same two bytes, so counts and keys
+    are dealt by these; contexts of one byte, at most 256, go everywhere."""
+    few = gathered(after.where(F.col("depth") < SHARED).select("key", "n", "total", "kinds"))
+    first = [level(few["key"].view(np.uint64), *(few[c].astype(np.float64) for c in ("n", "total", "kinds")))]
+    shallow = keys.sparkSession.sparkContext.broadcast((root, first))
+    group = F.shiftright("key", 8).bitwiseAND((1 << (8 * SHARED)) - 1).alias("group")
+    counts = after.where(F.col("depth") >= SHARED).select(group, "depth", "key", "n", "total", "kinds")
+    zero = F.lit(0).cast("long")
+    asked = keys.select(group, F.lit(DEPTH + 1).alias("depth"), "key", zero.alias("n"), zero.alias("total"), zero.alias("kinds"))
+    dealt = counts.union(asked).repartition("group").sortWithinPartitions("group", "depth")
+    return dealt.mapInArrow(released(looked_up(shallow)), "key long, p double")
+
+
+def score_rows(tree, common, end: float, sieve=None):
+    """One row per text with the score of what the tree settles and the base score of its end and common words;
+    one per other word of it, and one per symbol and context that may need the rest of the tree."""
     def run(batches):
         names, logs = common.value
         index = pd.Index(names)
@@ -205,7 +316,16 @@ def score_rows(tree, common, end: float):
                 symbols, until, (starts, ends, first) = sequences(block)
                 packed, where = grams(symbols, until)
                 codes, kinds = pd.factorize(packed)
-                score = sums_by(where, model.log_probability(kinds)[codes])
+                p = model.log_probability(kinds)
+                if sieve is not None:
+                    open_ = may_need(kinds, sieve.value)
+                    p[open_] = 0.0
+                    asked = np.flatnonzero(open_[codes])
+                    pairs, n = np.unique(owners(where)[asked] * len(kinds) + codes[asked], return_counts=True)
+                    if len(pairs):
+                        owner, key = np.divmod(pairs, len(kinds))
+                        yield counted_part(rows[block.start + owner], SYMBOL, kinds[key], n)
+                score = sums_by(where, p[codes])
                 h = HASH.ranges(block.data, starts, ends)
                 at = index.get_indexer(h)
                 known = at >= 0
@@ -214,6 +334,7 @@ def score_rows(tree, common, end: float):
                 mine = pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(block.start, block.n),
+                        pa.array(np.full(block.n, WORD, np.int32)),
                         pa.array(signed(_spread(rows[block.start : block.stop]))),
                         pa.array(np.diff(first) + 1),
                         batch.column(1).slice(block.start, block.n),
@@ -227,16 +348,17 @@ def score_rows(tree, common, end: float):
                 owner, other = owners(first)[~known], h[~known]
                 if len(other):
                     frame = pd.DataFrame({"o": owner, "h": other}).groupby(["o", "h"], sort=False).size().reset_index(name="n")
-                    size = len(frame)
-                    none = pa.nulls(size, pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(rows[block.start + frame["o"].to_numpy()]), pa.array(signed(frame["h"].to_numpy())), pa.array(frame["n"].to_numpy()), none, none, pa.nulls(size, pa.float64()), pa.nulls(size, pa.float64())],
-                        schema=PART,
-                    )
+                    yield counted_part(rows[block.start + frame["o"].to_numpy()], WORD, frame["h"].to_numpy(), frame["n"].to_numpy())
 
     return run
 
 
+def counted_part(rows: np.ndarray, kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    size = len(rows)
+    none, no_score = pa.nulls(size, pa.int64()), pa.nulls(size, pa.float64())
+    return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.full(size, kind, np.int32)), pa.array(signed(keys)), pa.array(n), none, none, no_score, no_score], schema=PART)
+
+
 def _spread(rows: np.ndarray) -> np.ndarray:
     """A key of its own for each text, so that rows without a word are dealt evenly."""
     return mix(rows.view(np.uint64) + U64(0x1234567))
@@ -249,7 +371,17 @@ def score(docs: DataFrame, training: Column, text: Column | str = "text", doc_id
     counted = docs.where(training).select(as_column(text).alias("text")).mapInArrow(released(count_rows()), from_arrow_schema(COUNT))
     counted = written(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     tokens = counted.where(F.col("kind") == WORD).select("key", "n")
-    tree = spark.sparkContext.broadcast(grow(counted.where(F.col("kind") == SYMBOL).select("key", "n")))
+    symbols = counted.where(F.col("kind") == SYMBOL).select("key", "n")
+    grown, rest, after = grow(symbols)
+    tree = spark.sparkContext.broadcast(grown)
+    known = tokens.where(F.col("key") != END).select(F.lit(WORD).alias("kind"), "key", F.col("n").alias("c"), F.lit(None).cast("double").alias("p"))
+    sieve = None
+    if rest is not None:
+        sieve = spark.sparkContext.broadcast(bloom(rest.mapInArrow(released(hashed_states), "h long")))
+        others = docs.where(~F.coalesce(training, F.lit(False))).select(as_column(text).alias("text")).mapInArrow(released(count_rows()), from_arrow_schema(COUNT))
+        keys = symbols.select("key").union(others.where(F.col("kind") == SYMBOL).select("key")).mapInArrow(released(needed(sieve)), "key long").distinct()
+        p = written(log_probabilities(keys, after, grown.root), "log-probabilities")
+        known = known.union(p.select(F.lit(SYMBOL), "key", F.lit(None).cast("long"), "p"))
     total, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log_of = lambda c: np.log10((c + 0.1) / (total + 0.1 * (distinct + 1)))
     ends = tokens.where(F.col("key") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -257,19 +389,20 @@ def score(docs: DataFrame, training: Column, text: Column | str = "text", doc_id
     common = spark.sparkContext.broadcast((top["key"].view(np.uint64), log_of(top["n"].astype(np.float64))))
     known_end = int(ends > 0)
     narrow = docs.select(F.monotonically_increasing_id().alias("row"), as_column(doc_id).cast("long").alias("doc_id"), as_column(text).alias("text"))
-    parts = narrow.mapInArrow(released(score_rows(tree, common, float(log_of(ends)))), from_arrow_schema(PART))
+    parts = narrow.mapInArrow(released(score_rows(tree, common, float(log_of(ends)), sieve)), from_arrow_schema(PART))
     # the commonest words are done, so no word left is in many texts
-    joined = parts.join(tokens.where(F.col("key") != END).withColumnRenamed("n", "c"), "key", "left")
-    is_word = F.col("score").isNull()
+    joined = parts.join(known, ["kind", "key"], "left")
+    is_symbol = F.col("kind") == SYMBOL
+    is_word = F.col("score").isNull() & ~is_symbol
     seen = F.coalesce("c", F.lit(0))
     scale = float(total + 0.1 * (distinct + 1))
     out = joined.select(
         "row",
         "doc_id",
-        F.when(~is_word, F.col("n")).alias("n_tokens"),
-        F.when(is_word, F.when(seen > 0, F.col("n")).otherwise(0)).otherwise(F.col("n_known") + known_end).alias("n_known"),
-        F.when(is_word, F.col("n") * F.log10((seen + 0.1) / scale)).otherwise(F.col("base")).alias("base"),
-        "score",
+        F.when(F.col("score").isNotNull(), F.col("n")).alias("n_tokens"),
+        F.when(is_symbol, 0).when(is_word, F.when(seen > 0, F.col("n")).otherwise(0)).otherwise(F.col("n_known") + known_end).alias("n_known"),
+        F.when(is_symbol, 0.0).when(is_word, F.col("n") * F.log10((seen + 0.1) / scale)).otherwise(F.col("base")).alias("base"),
+        F.when(is_symbol, F.col("n") * F.col("p")).otherwise(F.col("score")).alias("score"),
     )
-    whole = out.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").cast("long").alias("n_known"), F.sum("base").alias("base_score"), F.max("score").alias("score"))
+    whole = out.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").cast("long").alias("n_known"), F.sum("base").alias("base_score"), F.sum("score").alias("score"))
     return whole.select("doc_id", "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")

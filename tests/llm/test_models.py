@@ -133,6 +133,17 @@ def test_scores_of_every_row(docs, rows):
         assert x[:4] == y[:4] and x[4:] == pytest.approx(y[4:], rel=1e-9)
 
 
+def test_states_that_do_not_travel_count_in_full(docs, monkeypatch):
+    """Whatever part of the tree is sent to the tasks, scores are those of the whole tree."""
+    training = F.col("doc_id").isNotNull() & ((F.crc32(F.col("doc_id").cast("string")) % 10) != 0)
+    table = lambda: sorted((str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in suffix_tree_lm.score(docs, training).collect())
+    whole = table()
+    for limits in ((40, 10**6), (10**6, 300), (0, 0)):
+        monkeypatch.setattr(suffix_tree_lm.grow, "__defaults__", (*suffix_tree_lm.grow.__defaults__[:3], *limits))
+        for x, y in zip(table(), whole, strict=True):
+            assert x[:3] == y[:3] and x[3:] == pytest.approx(y[3:], rel=1e-9)
+
+
 def test_rare_words_meet_counts_in_the_join(docs, monkeypatch):
     everything = [(r.doc_id, r.n_known, round(r.base_score, 6)) for r in suffix_tree_lm.score(docs, F.lit(True)).collect()]
     monkeypatch.setattr(suffix_tree_lm, "COMMON", 3)
