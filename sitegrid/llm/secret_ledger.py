@@ -43,8 +43,23 @@ BASE_RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", 1, r"[0-9a-f]{16,}"),
 )
-#: a rule of this library's own: heads of private keys
-MORE_RULES = (Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),)
+_PEM = r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+_BREAK = r"(?:[\x20\t]*+(?:\r\n|\r|\n|(?:\\+r)?\\+n)[\x20\t>|#*]*+)"
+#: a rule of this library's own: private keys up to the END line before the next heading. Where that
+#: is missing, the heading, its fields and the base64 after it: runs of 16 characters, then also shorter lines.
+#: Line breaks may be escaped. Quantifiers that keep what they have need no stack.
+MORE_RULES = (
+    Rule(
+        "pem",
+        2,
+        _PEM
+        + r"(?:(?:(?!-----BEGIN\x20)[\s\S])*?-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+        + rf"|(?:{_BREAK}++(?:Proc-Type|DEK-Info|Version|Comment):[^\r\n\\]*+)*+"
+        + rf"(?:(?:{_BREAK}++|[\x20\t]*+)[A-Za-z0-9+/=]{{16,}}+"
+        + rf"(?:(?:{_BREAK}++|[\x20\t]++)[A-Za-z0-9+/=]{{16,}}+|{_BREAK}++[A-Za-z0-9+/=]++(?=[\x20\t]*+(?:[\r\n\\\"'`,;<)\]}}]|(?![\s\S]))))*+)?+)",
+        sieve=_PEM,
+    ),
+)
 RULES = BASE_RULES + MORE_RULES
 
 SPAN = "struct<kind_at:int,kind:string,start:int,end:int>"
