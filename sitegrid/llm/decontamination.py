@@ -1,10 +1,12 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Words are lower-case runs of letters and digits. N-grams of the test items are counted
+Words are lower-case runs of letters and digits; in scripts without spaces each code point
+is one. N-grams of the test items are counted
 over the whole corpus. In each stretch of consecutive n-grams of an item the rarest is
 a seed, so every four words in a row of an item have one, however common they are. Seeds
 join texts to items; each pair is aligned word by word, which also scores edited copies, and
-the pair counts as a leak if the score is a share of that of a perfect copy.
+the pair counts as a leak if the score is a share of that of a perfect copy, or that of
+`LONG` equal words, however long the item is. `POINTS` code points count for a word there.
 
 Items of equal words are aligned once and listed together. Null and empty texts, and
 items of fewer words than a seed, which could not be told from chance, match nothing.
@@ -23,25 +25,48 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from sitegrid.llm.bloom import bloom
 from sitegrid.llm.tables import written
-from sitegrid.llm.text import Block, Hasher, blocks, lists, ngrams, owners, released, signed, sliding, spans, starts_of
+from sitegrid.llm.text import Block, Hasher, blocks, lists, ngrams, owners, released, signed, sliding, spans, starts_of, sums_by
 
 SEED_WORDS, STRETCH = 3, 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST = 0.5
+LONG, POINTS = 13, 3
 
 HASH = Hasher(seed=11)
 #: bytes of words: digits, letters, and all bytes beyond ASCII
 WORD = np.zeros(256, bool)
 WORD[48:58] = WORD[97:123] = WORD[128:] = True
+#: first two bytes of code points of scripts without spaces, first byte times 256: Thai to Tibetan,
+#: Burmese, Khmer, kana and bopomofo, Han with its compatibility forms and further planes
+UNSPACED = np.zeros(1 << 16, bool)
+for low, high in ((0xE0B8, 0xE0BF), (0xE180, 0xE182), (0xE19E, 0xE19F), (0xE381, 0xE387), (0xE390, 0xE3BF), (0xE480, 0xE9BF), (0xEFA4, 0xEFAB), (0xF0A0, 0xF0BF)):
+    UNSPACED[low : high + 1] = True
 
 SEED = pa.schema([("doc_id", pa.int64()), ("h", pa.int64())])
-ITEM = pa.schema([("item_id", pa.int64()), ("at", pa.int32()), ("h", pa.int64()), ("words", pa.list_(pa.int64()))])
+ITEM = pa.schema([("item_id", pa.int64()), ("at", pa.int32()), ("h", pa.int64()), ("words", pa.list_(pa.int64())), ("long", pa.float64())])
 FOUND = pa.schema([("doc_id", pa.int64()), ("class_id", pa.int64()), ("score", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("first_char", pa.int64()), ("last_char", pa.int64())])
 
 
 def word_hashes(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    starts, ends, first = spans(block, WORD[block.data])
-    return HASH.ranges(block.data, starts, ends), first, starts, ends
+    data = block.data
+    starts, ends, first = spans(block, WORD[data])
+    points = unspaced(data)
+    if len(points):
+        # such a code point is a word of its own, and what follows it begins another
+        after = points + np.where(data[points] >= 0xF0, 4, 3)
+        after = after[after < len(data)]
+        begins = np.union1d(starts, np.concatenate([points, after[WORD[data[after]]]]))
+        until = ends[np.searchsorted(starts, begins, "right") - 1]
+        starts, ends = begins, np.minimum(until, np.append(begins[1:], len(data)))
+        first = np.searchsorted(starts, block.offsets)
+    return HASH.ranges(data, starts, ends), first, starts, ends
+
+
+def unspaced(data: np.ndarray) -> np.ndarray:
+    """Where code points of scripts without spaces begin."""
+    at = np.flatnonzero(data >= 0xE0)
+    at = at[at < len(data) - 2]
+    return at[UNSPACED[(data[at].astype(np.int64) << 8) | data[at + 1]]]
 
 
 def item_rows(seed_words: int):
@@ -51,12 +76,15 @@ def item_rows(seed_words: int):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for block in blocks(batch.column(1)):
-                h, first, _, _ = word_hashes(block)
+                h, first, starts, _ = word_hashes(block)
                 at = starts_of(first, seed_words)
                 owner = owners(first)[at]
+                n = np.diff(first)
+                single = sums_by(first, np.isin(starts, unspaced(block.data)).astype(np.int64))
+                long = LONG * n / np.maximum(n - single * (1 - 1 / POINTS), 1)
                 grams = ngrams(h, seed_words)[at] if len(at) else h[:0]
                 bag = [signed(h[first[i] : first[i + 1]]) for i in owner.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[block.start + owner], pa.int64()), pa.array((at - first[owner]).astype(np.int32)), pa.array(signed(grams)), pa.array(bag, pa.list_(pa.int64()))], schema=ITEM)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[block.start + owner], pa.int64()), pa.array((at - first[owner]).astype(np.int32)), pa.array(signed(grams)), pa.array(bag, pa.list_(pa.int64())), pa.array(long[owner])], schema=ITEM)
 
     return run
 
@@ -136,7 +164,7 @@ def aligned(least: float):
                         words = np.array(item["words"], np.int64)
                         score, low, high = align(words, h[a:b])
                         share = score / (MATCH * len(words))
-                        if share >= least:
+                        if share >= least or score >= MATCH * item["long"]:
                             out.append((ids[block.start + i], item["class_id"], share, low, high, int(chars[starts[a + low]]) - origin, int(chars[ends[a + high - 1]]) - origin))
             yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=FOUND.names), schema=FOUND, preserve_index=False)
 
@@ -172,10 +200,10 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST, seed_words: i
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), lower(text).alias("text"))
     tests = items.select(F.col(item_id).cast("long").alias("item_id"), lower(item_text).alias("text"))
     rows = written(tests.where("item_id IS NOT NULL").mapInArrow(released(item_rows(seed_words)), from_arrow_schema(ITEM)), "item-grams")
-    one = rows.where("at = 0").select("item_id", "words")
+    one = rows.where("at = 0").select("item_id", "words", "long")
     members = one.groupBy("words").agg(F.min("item_id").alias("class_id"), F.collect_set("item_id").alias("ids")).select(F.explode("ids").alias("item_id"), "class_id")
     members = written(members, "item-classes")
-    classes = written(one.join(members, "item_id").where("item_id = class_id").dropDuplicates(["class_id"]).select("class_id", "words"), "items")
+    classes = written(one.join(members, "item_id").where("item_id = class_id").dropDuplicates(["class_id"]).select("class_id", "words", "long"), "items")
     grams = rows.join(members, "item_id").where("item_id = class_id").select("class_id", "at", "h").distinct()
     sieve = docs.sparkSession.sparkContext.broadcast(bloom(grams.select("h").distinct()))
     named = texts.where("doc_id IS NOT NULL")
@@ -183,7 +211,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST, seed_words: i
     counts = seen.groupBy("h").agg(F.sum("n").alias("n"))
     seeds = written(rare_seeds(grams, counts, stretch), "seeds")
     pairs = seen.join(seeds, "h").select("doc_id", "class_id").distinct()
-    wanted = pairs.join(classes, "class_id").groupBy("doc_id").agg(F.collect_list(F.struct("class_id", "words")).alias("items"))
+    wanted = pairs.join(classes, "class_id").groupBy("doc_id").agg(F.collect_list(F.struct("class_id", "words", "long")).alias("items"))
     wanted = written(wanted, "candidates")
     # only texts that may be candidates are shuffled
     ids = docs.sparkSession.sparkContext.broadcast(bloom(wanted.select(F.xxhash64("doc_id").alias("h"))))

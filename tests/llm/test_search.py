@@ -78,6 +78,35 @@ def test_leaks_against_aligning_everything(spark, planted):
     assert not {i for i, _ in got} & set(range(24, 60))
 
 
+def test_long_parts_and_scripts_without_spaces(spark):
+    rng = random.Random(21)
+    item = prose(rng, 200)
+    points = lambda low, high, n: "".join(chr(rng.randrange(low, high)) for _ in range(n))
+    han, thai, kana = points(0x4E00, 0x9FA0, 40), points(0x0E01, 0x0E2F, 60), points(0x3041, 0x3097, 30)
+    far, long_han = points(0x20000, 0x2A6D0, 20), points(0x4E00, 0x9FA0, 300)
+    items = [(0, item), (1, han), (2, thai), (3, kana), (4, far), (5, long_han), (6, "mixed日本語words and éé")]
+    docs = [
+        (0, f"{prose(rng, 50)} {' '.join(item.split()[60:150])} {prose(rng, 50)}"),  # 90 of 200 words
+        (1, f"{prose(rng, 20)} {' '.join(item.split()[30:43])} {prose(rng, 20)}"),  # 13 words
+        (2, f"{prose(rng, 20)} {' '.join(item.split()[30:40])} {prose(rng, 20)}"),  # too few of a long item
+        (11, points(0x4E00, 0x9FA0, 200) + han + points(0x4E00, 0x9FA0, 200)),
+        (12, points(0x0E01, 0x0E2F, 200) + thai + points(0x0E01, 0x0E2F, 200)),
+        (13, points(0x3041, 0x3097, 100) + kana + "end"),
+        (14, "x" + far + "y"),
+        (15, points(0x4E00, 0x9FA0, 100) + long_han[100:140] + points(0x4E00, 0x9FA0, 100)),
+        (16, points(0x4E00, 0x9FA0, 100) + long_han[100:130] + points(0x4E00, 0x9FA0, 100)),
+        (17, "a text of mixed日本語words and éé in it"),
+        (18, points(0x4E00, 0x9FA0, 300)),
+    ]
+    found, members = decontamination.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.class_id): r for r in found.collect()}
+    assert set(got) == {(0, 0), (1, 0), (11, 1), (12, 2), (13, 3), (14, 4), (15, 5), (17, 6)}
+    assert members.count() == 7
+    text = dict(docs)
+    for (d, i), whole in {(11, 1): han, (12, 2): thai, (14, 4): far}.items():
+        assert text[d][got[(d, i)].first_char : got[(d, i)].last_char] == whole
+
+
 def test_leaks_of_empty_tables(spark, planted, empty):
     items, docs = planted
     bench = spark.createDataFrame(items, "item_id long, text string")
