@@ -56,3 +56,29 @@ SELECT doc_id, {", ".join(f"CAST(coalesce(n_{r.kind}, 0) AS BIGINT) AS n_{r.kind
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN per_doc USING (doc_id)
 """
+
+
+def _draw(k: int) -> str:
+    """The k-th eight hex digits of a hash as a whole number."""
+    return f"list_reduce(list_prepend(0::BIGINT, list_transform(string_split(substr(hash, {8 * k + 1}, 8), ''), lambda x: CAST(position(x IN '0123456789abcdef') - 1 AS BIGINT))), lambda a, b: a * 16 + b)"
+
+
+FILL_IN_MIDDLE = f"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '(?s)[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hash FROM documents
+), drawn AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, {", ".join(f"{_draw(k)} AS h{k + 1}" for k in range(4))} FROM units
+), cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS c1, greatest(h1 % (n + 1), h2 % (n + 1)) AS c2,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+), parts AS (
+  SELECT *, array_to_string(u[1:c1], '') AS p, array_to_string(u[c1 + 1:c2], '') AS m, array_to_string(u[c2 + 1:], '') AS s FROM cuts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""

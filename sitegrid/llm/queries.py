@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrid.llm import attention_quality, byte_bpe, decontamination, fertility, hd_language, oracles, secret_ledger, simhash, substring_dedup, suffix_dedup, suffix_tree_lm
+from sitegrid.llm import attention_quality, byte_bpe, decontamination, fertility, fill_in_middle, hd_language, oracles, secret_ledger, simhash, substring_dedup, suffix_dedup, suffix_tree_lm
 from sitegrid.llm.tables import fold, prepare, read
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -90,5 +90,13 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(read(spark, sf_dir, "documents"), PIECE_VOCABULARY, BYTE_VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_substring_dedup, op3_simhash, op4_attention_quality, op5_suffix_dedup, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op9_suffix_tree_lm, op10_fertility)}
-ORACLES = {"op2_substring_dedup": oracles.SUBSTRING_DEDUP, "op8_secret_ledger": oracles.SECRET_LEDGER}
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    made = fill_in_middle.fill_in_middle(read(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(back).alias("restored_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_substring_dedup, op3_simhash, op4_attention_quality, op5_suffix_dedup, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op9_suffix_tree_lm, op10_fertility, op11_fill_in_middle)}
+ORACLES = {"op2_substring_dedup": oracles.SUBSTRING_DEDUP, "op8_secret_ledger": oracles.SECRET_LEDGER, "op11_fill_in_middle": oracles.FILL_IN_MIDDLE}

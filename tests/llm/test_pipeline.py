@@ -73,7 +73,7 @@ def test_run_and_empty_input(spark, world):
 
 def test_every_operator_is_registered():
     numbers = [name.split("_")[0] for name in queries.QUERIES]
-    assert numbers == [f"op{k}" for k in range(1, 11)]
+    assert numbers == [f"op{k}" for k in range(1, 12)]
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(queries.ORACLES) <= set(__spark_entry__.oracle_sql())
 
