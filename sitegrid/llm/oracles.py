@@ -82,3 +82,66 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT)
   sha256(text) AS restored_sha256
 FROM parts
 """
+
+
+#: crc32 of the decimal digits, bit by bit: each byte is followed by seven zeros
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+  lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda a, b: xor(xor(a, b) >> 1, (xor(a, b) & 1) * 3988292384)), 4294967295)"""
+
+CONVERSATION_TRIE = rf"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC32} % 4 AS h FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT c.conv_id, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h
+), steps AS (
+  SELECT conv_id, row_number() OVER w AS depth, len(regexp_extract_all(text, '{_WORD}')) AS words,
+    string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS path
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+), members AS (
+  SELECT conv_id, 0 AS depth, '' AS path, 0 AS words FROM convs UNION ALL SELECT conv_id, depth, path, words FROM steps
+), lengths AS (
+  SELECT conv_id, max(depth) AS n FROM members GROUP BY conv_id
+), nodes AS (
+  SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = n), '')) AS ends_sha256
+  FROM members JOIN lengths USING (conv_id) GROUP BY path
+), linked AS (
+  SELECT v.*, p.conv_id AS parent_conv_id, coalesce(k.n, 0) AS n_children FROM nodes v
+  LEFT JOIN nodes p ON v.depth > 0 AND p.path = left(v.path, 32 * (v.depth - 1))
+  LEFT JOIN (SELECT left(path, 32 * (depth - 1)) AS above, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY above) k ON k.above = v.path
+), sums AS (
+  SELECT left(path, 32 * d) AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM linked) GROUP BY ALL
+)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM linked JOIN sums USING (path)
+"""
+
+
+def _replaced(column: str, pairs) -> str:
+    for a, b in pairs:
+        column = f"replace({column}, {a}, {b})"
+    return column
+
+
+_ROLE = _replaced("role", [("'\\'", "'\\\\'"), ("'<'", "'\\l'"), ("'>'", "'\\g'"), ("chr(10)", "'\\n'")])
+_TEXT = _replaced("text", [("'<turn:'", "'\\<turn:'"), ("'</turn>'", "'\\</turn>'")])
+_ODD = r"\### Assistant: </turn> ok"
+CHAT_PREFIX_TREE = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{_ODD}'), (-7, 1, 'assistant', '{_ODD}')
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS pos FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<turn:' || {_ROLE} || '>' || chr(10) || {_TEXT} || chr(10) || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM placed GROUP BY conv_id
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrid.llm import attention_quality, byte_bpe, decontamination, fertility, fill_in_middle, hd_language, oracles, secret_ledger, simhash, substring_dedup, suffix_dedup, suffix_tree_lm
+from sitegrid.llm import attention_quality, byte_bpe, chat_prefix_tree, conversation_trie, decontamination, fertility, fill_in_middle, hd_language, oracles, secret_ledger, simhash, substring_dedup, suffix_dedup, suffix_tree_lm
 from sitegrid.llm.tables import fold, prepare, read
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -98,5 +98,48 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(back).alias("restored_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_substring_dedup, op3_simhash, op4_attention_quality, op5_suffix_dedup, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op9_suffix_tree_lm, op10_fertility, op11_fill_in_middle)}
-ORACLES = {"op2_substring_dedup": oracles.SUBSTRING_DEDUP, "op8_secret_ledger": oracles.SECRET_LEDGER, "op11_fill_in_middle": oracles.FILL_IN_MIDDLE}
+#: one more conversation, whose texts hold what looks like control strings
+ODD_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op12_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    odd = [F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit(ODD_TEXT).alias("text")) for i, role in enumerate(("user", "assistant"))]
+    chats = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    out = chat_prefix_tree.format_chats(chats.unionByName(spark.range(1).select(F.inline(F.array(*odd)))))
+    back = chat_prefix_tree.read_back(out).withColumn("turns", chat_prefix_tree.read_turns(F.col("stream")))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        digest(told).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        digest(F.col("learned")).alias("loss_sha256"),
+        F.length("stream").cast("long").alias("formatted_chars"),
+    )
+
+
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """Conversation c: the first h turns of conversation c - c % 20, then its own after its first h."""
+    base = turns.where("conv_id % 20 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 3).alias("initial"))
+    named = turns.withColumn("base", F.expr("conv_id - conv_id % 20")).withColumn("h", fold(F.col("conv_id"), 4).cast("int"))
+    none = F.slice("turns", 1, 0)
+    own = F.slice("turns", F.col("h") + 1, F.size("turns"))
+    return named.join(base, "base", "left").select("conv_id", F.concat(F.slice(F.coalesce("initial", none), F.lit(1), F.col("h")), own).alias("turns"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    turns = conversation_trie.conversation_turns(read(spark, sf_dir, "conversations"))
+    return conversation_trie.trie(conversation_trie.as_paths(rebuilt(turns)))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_substring_dedup, op3_simhash, op4_attention_quality, op5_suffix_dedup, op6_byte_bpe, op7_hd_language, op8_secret_ledger, op9_suffix_tree_lm, op10_fertility, op11_fill_in_middle, op12_chat_prefix_tree, op13_conversation_trie)}
+ORACLES = {
+    "op2_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op8_secret_ledger": oracles.SECRET_LEDGER,
+    "op11_fill_in_middle": oracles.FILL_IN_MIDDLE,
+    "op12_chat_prefix_tree": oracles.CHAT_PREFIX_TREE,
+    "op13_conversation_trie": oracles.CONVERSATION_TRIE,
+}
