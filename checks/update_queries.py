@@ -91,8 +91,8 @@ def latest_version(t):
     " WHERE c.op = 'delete' AND c.old_kind <> 22 AND (t.inside OR t.on_edge) AND s.leisure = 'playground'"
 )
 def delete_point_poly(t):
-    """Sites around deleted objects that are no site themselves, by their old place."""
-    gone = incremental.old_images(t.changes.filter("op = 'delete'"))
+    """Sites around deleted objects that are no site themselves, by their stored place."""
+    gone = base_of(t).images(t.changes.filter("op = 'delete'"))
     found = []
     for product, wanted in (("campsite", is_site), ("playground", is_playground)):
         areas = t.polys.filter(wanted(F.col("tags")))
@@ -107,9 +107,8 @@ def delete_point_poly(t):
 )
 def delete_site_relation(t):
     gone = t.relation_changes.filter("new IS NULL").select(F.col("osm_id").alias("site_id"))
-    members = t.site_members.join(gone, "site_id", "left_semi")
-    extended = extend_members(members, all_features(t.polys, t.points, t.lines))
-    return extended.filter(is_site(F.col("member_tags"))).select(*KEY).distinct()
+    members = base_of(t).images(incremental.members_of(t.site_members, gone))
+    return members.filter(is_site(F.col("tags"))).select(*KEY)
 
 
 @query(
@@ -117,8 +116,8 @@ def delete_site_relation(t):
     f" JOIN fx_point_in_poly t ON t.osm_id = c.osm_id JOIN fx_poly s ON s.k = t.k WHERE (t.inside OR t.on_edge) AND s.tourism IN {SITES}"
 )
 def scalar_subquery_geom(t):
-    """The old geometry comes with the change row."""
-    gone = incremental.old_images(t.changes.filter("op = 'delete'"))
+    """The old geometry is that of the tables."""
+    gone = base_of(t).images(t.changes.filter("op = 'delete'"))
     pairs = join_points(areas_of(t.polys), gone.select(F.col("osm_id").alias("gone_id"), *GEOMETRY))
     return pairs.select("gone_id", F.col("site_type").alias("osm_type"), F.col("site_id").alias("osm_id"))
 
@@ -183,9 +182,7 @@ def new_relation_members(t):
 def insert_ignore(t):
     sites = all_features(t.polys, t.points).filter(is_site(F.col("tags"))).select(*KEY)
     moved = incremental.new_features(latest(t)).filter(is_site(F.col("tags"))).select(*KEY)
-    gone = latest(t).select(*KEY)
-    kept = sites.join(gone, KEY, "left_anti")
-    return gone.unionByName(kept).unionByName(moved).dropDuplicates(KEY)
+    return incremental.queued(latest(t), sites, moved)
 
 
 @query(after("SELECT osm_type, osm_id, ts, k1, v1 FROM fx_point"))
@@ -242,14 +239,24 @@ def batch_idempotence(t):
     return flat_playgrounds(store.read("playgrounds")).withColumn("versions", versions)
 
 
-@query(after(f"SELECT {_PRODUCT} FROM ora_product"))
-def stream_update(t):
-    """The feed in two files, applied as two micro-batches."""
+def streamed(t, late_first: bool):
+    """The feed in two files, applied as two micro-batches. Its old images are those before an object's first change."""
     store, feed = opened_store(t), fresh_path(t, "feed")
     middle = t.changes.agg(F.expr("percentile_approx(unix_micros(cast(ts AS timestamp)), 0.5)")).first()[0]
     early = F.expr(f"unix_micros(cast(ts AS timestamp)) < {middle}")
-    t.changes.filter(early).coalesce(1).write.parquet(feed)
-    t.changes.filter(~early).coalesce(1).write.mode("append").parquet(feed)
+    for part in (~early, early) if late_first else (early, ~early):
+        t.changes.filter(part).coalesce(1).write.mode("append").parquet(feed)
     source = updater.change_source(t.spark, feed, files_per_batch=1)
     updater.run_updates(store, source, fresh_path(t, "checkpoint"), every=None).awaitTermination()
     return flat_marked(updater.read_campsites(store))
+
+
+@query(after(f"SELECT {_PRODUCT} FROM ora_product"))
+def stream_update(t):
+    return streamed(t, late_first=False)
+
+
+@query(after(f"SELECT {_PRODUCT} FROM ora_product"))
+def stream_update_reversed(t):
+    """Changes that come after newer ones of the same object do not count."""
+    return streamed(t, late_first=True)

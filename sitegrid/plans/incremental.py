@@ -17,7 +17,7 @@ from sitegrid.functions.tags import unify_keys, value_in
 from sitegrid.operators.facilities import SITE_RULES, SITE_TOURISM, is_playground, is_site
 from sitegrid.operators.quality import mark_quality
 from sitegrid.operators.relations import all_features
-from sitegrid.operators.spatial import join_all, points_near
+from sitegrid.operators.spatial import cell_field, join_all, may_have, points_near
 from sitegrid.plans.campsites import apply_site_relations, build_campsites, restrict
 from sitegrid.plans.playgrounds import build_playgrounds
 from sitegrid.schema import GEOMETRY, KEY
@@ -33,42 +33,63 @@ class Base:
     lines: DataFrame
     polys: DataFrame
     site_members: DataFrame
+    #: all features ordered by key, where they are stored a second time for look-ups
+    objects: DataFrame | None = None
 
     def features(self) -> DataFrame:
         return all_features(self.polys, self.points, self.lines)
 
+    def images(self, keys: DataFrame) -> DataFrame:
+        """These objects as they are here. With `objects`, only files and row groups that may hold one are read."""
+        if self.objects is None:
+            return at_keys(self.features(), keys)
+        return at_keys(self.objects.filter(key_ranges(keys)), keys)
+
+
+#: intervals of keys that travel to the scan, per object type
+KEY_RANGES = 256
+
+
+def key_ranges(keys: DataFrame) -> str:
+    """A condition of bounded length that holds for all keys: intervals of ids, as a scan compares them with its statistics."""
+    bounds = keys.groupBy("osm_type").agg(F.min("osm_id").alias("low"), F.max("osm_id").alias("high"))
+    part = F.expr(f"(osm_id - low) DIV ((high - low) DIV {KEY_RANGES} + 1)")
+    parts = keys.join(F.broadcast(bounds), "osm_type").groupBy("osm_type", part.alias("part"))
+    found = parts.agg(F.min("osm_id").alias("a"), F.max("osm_id").alias("b")).collect()  # at most KEY_RANGES a type
+    return " OR ".join(f"(osm_type = '{r.osm_type}' AND osm_id >= {r.a} AND osm_id <= {r.b})" for r in sorted(found)) or "false"
+
+
+def at_keys(features: DataFrame, keys: DataFrame) -> DataFrame:
+    """The features with these keys; a bit field drops most others next to the scan."""
+    keys = keys.select(*KEY)
+    maybe = may_have(cell_field(keys.select(F.xxhash64(*KEY).alias("cell"))), f"xxhash64({', '.join(KEY)})")
+    return features.filter(maybe).join(keys, KEY, "left_semi").select(*features.columns)
+
 
 def latest_versions(changes: DataFrame) -> DataFrame:
-    """The newest change of each object, and in `before` what it was ahead of its first change."""
+    """The newest change of each object."""
     newest_first = Window.partitionBy(*KEY).orderBy(F.desc("ts"), F.desc("seq"))
-    whole = newest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = changes.withColumn("n", F.row_number().over(newest_first)).withColumn("before", F.last("old").over(whole))
-    return ranked.filter("n = 1").drop("n")
+    return changes.withColumn("n", F.row_number().over(newest_first)).filter("n = 1").drop("n")
+
+
+def flagged(objects: DataFrame, tags: str = "tags") -> DataFrame:
+    """Keys with what the object is."""
+    return objects.select(*KEY, is_site(F.col(tags)).alias("is_cs"), is_playground(F.col(tags)).alias("is_pg"))
 
 
 def queue_flags(changes: DataFrame) -> DataFrame:
     """Changed objects with what they are now."""
-    tags = F.col("new.tags")
-    return latest_versions(changes).select(*KEY, is_site(tags).alias("is_cs"), is_playground(tags).alias("is_pg"))
+    return flagged(latest_versions(changes), "new.tags")
 
 
-def old_images(changes: DataFrame) -> DataFrame:
-    """Each object as it was before the batch: the old image of its first change."""
-    first = Window.partitionBy(*KEY).orderBy("ts", "seq")
-    return (
-        changes.withColumn("n", F.row_number().over(first))
-        .filter("n = 1 AND old IS NOT NULL")
-        .select(*KEY, "old.*")
-    )
+def queued(*keys: DataFrame) -> DataFrame:
+    """Each key of any of the tables once."""
+    return all_features(*(k.select(*KEY) for k in keys)).dropDuplicates(KEY)
 
 
 def new_features(latest: DataFrame) -> DataFrame:
     """New versions that are still POIs, with unified keys."""
-    return _features(latest, "new")
-
-
-def _features(latest: DataFrame, version: str) -> DataFrame:
-    image = latest.filter(f"{version}.kind IS NOT NULL").select(*KEY, f"{version}.*")
+    image = latest.filter("new.kind IS NOT NULL").select(*KEY, "new.*")
     tags, kind = F.col("tags"), F.col("kind")
     poi = (
         F.when(kind == "P", is_point_poi(tags))
@@ -124,9 +145,11 @@ def apply_changes(base: Base, latest: DataFrame) -> Base:
     return Base(**tables, site_members=members)
 
 
-def touched_features(latest: DataFrame) -> DataFrame:
-    """Old and new versions of all changed objects; the feed carries both, so no table is read."""
-    return _features(latest, "before").unionByName(new_features(latest))
+def touched_features(old: Base, latest: DataFrame) -> DataFrame:
+    """Changed objects as the tables have them, and as they are now.
+
+    What the feed says an object was does not count: it may be older than the tables."""
+    return written(old.images(latest).unionByName(new_features(latest)), "touched")
 
 
 def touched_areas(areas: DataFrame, touched: DataFrame) -> DataFrame:
@@ -140,35 +163,41 @@ def touched_areas(areas: DataFrame, touched: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def named_members(members: DataFrame) -> DataFrame:
+    return members.select("site_id", F.col("member_type").alias("osm_type"), F.col("member_id").alias("osm_id"))
+
+
+def members_of(members: DataFrame, relations: DataFrame) -> DataFrame:
+    """Keys of the members of these relations."""
+    wanted = relations.select("site_id").distinct()
+    return named_members(members).join(wanted, "site_id", "left_semi").select(*KEY).distinct()
+
+
 def relation_neighbours(old: DataFrame, new: DataFrame, latest: DataFrame) -> DataFrame:
     """Members, before or after, of relations that changed or hold a changed object."""
     both = old.select("site_id", "member_type", "member_id").unionByName(
         new.select("site_id", "member_type", "member_id")
     )
-    named = both.select(
-        "site_id", F.col("member_type").alias("osm_type"), F.col("member_id").alias("osm_id")
-    )
-    through_member = named.join(latest.select(*KEY), KEY, "left_semi").select("site_id")
-    relations = changed_relations(latest).unionByName(through_member).distinct()
-    return named.join(relations, "site_id", "left_semi").select(*KEY).distinct()
+    through_member = named_members(both).join(latest.select(*KEY), KEY, "left_semi").select("site_id")
+    return members_of(both, changed_relations(latest).unionByName(through_member))
 
 
-def affected_sites(old: Base, new: Base, latest: DataFrame) -> DataFrame:
+def affected_sites(old: Base, new: Base, latest: DataFrame, touched: DataFrame | None = None) -> DataFrame:
     """Keys of the sites to rebuild, and of former sites to drop."""
-    touched = touched_features(latest)
-    own = touched.filter(is_site(F.col("tags"))).select(*KEY)
+    touched = touched_features(old, latest) if touched is None else touched
+    own = flagged(touched).filter("is_cs")
     areas = new.polys.filter(is_site(F.col("tags")))
     around = touched_areas(areas, touched)
     sites = areas.select(*KEY).unionByName(new.points.filter(is_site(F.col("tags"))).select(*KEY))
     related = sites.join(relation_neighbours(old.site_members, new.site_members, latest), KEY, "left_semi")
-    return own.unionByName(around).unionByName(related).dropDuplicates(KEY)
+    return queued(own, around, related)
 
 
-def affected_playgrounds(old: Base, new: Base, latest: DataFrame) -> DataFrame:
-    touched = touched_features(latest)
-    own = touched.filter(is_playground(F.col("tags"))).select(*KEY)
+def affected_playgrounds(old: Base, new: Base, latest: DataFrame, touched: DataFrame | None = None) -> DataFrame:
+    touched = touched_features(old, latest) if touched is None else touched
+    own = flagged(touched).filter("is_pg")
     around = touched_areas(new.polys.filter(is_playground(F.col("tags"))), touched)
-    return own.unionByName(around).dropDuplicates(KEY)
+    return queued(own, around)
 
 
 def rebuilt_campsites(new: Base, grid: DataFrame, affected: DataFrame, rules=SITE_RULES) -> DataFrame:

@@ -150,6 +150,7 @@ TABLES = {
     "points": FEATURE,
     "lines": FEATURE,
     "polys": FEATURE,
+    "objects": FEATURE,
     "site_members": SITE_MEMBER,
     "country_grid": COUNTRY_GRID,
     "campsites": CAMPSITE,

@@ -16,6 +16,8 @@ SETTINGS = {
     # the split costs one more exchange
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the newest change of every object is state; it lies on disk, not in memory
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,6 +30,7 @@ from sitegrid.plans.incremental import (
     new_members,
     rebuilt_campsites,
     rebuilt_playgrounds,
+    touched_features,
 )
 from sitegrid.plans.playgrounds import build_playgrounds
 from sitegrid.schema import CHANGE, KEY, TABLES
@@ -38,7 +39,7 @@ from sitegrid.session import written
 COMPACT_AFTER = 48
 _COMMIT = "version bigint, full boolean, batch_id bigint, newest timestamp_ntz"
 
-KEYS = {name: KEY for name in ("points", "lines", "polys", "campsites", "playgrounds")}
+KEYS = {name: KEY for name in ("points", "lines", "polys", "objects", "campsites", "playgrounds")}
 KEYS["site_members"] = ["site_id"]
 
 
@@ -89,7 +90,10 @@ class Store:
         for name, df in tables.items():
             columns = TABLES[name].fieldNames()
             rows = df.select(*columns)
-            rows = clustered(rows) if "minx" in columns and "osm_id" in columns else rows
+            if name == "objects":
+                rows = rows.repartitionByRange(*KEY).sortWithinPartitions(*KEY)
+            elif "minx" in columns and "osm_id" in columns:
+                rows = clustered(rows)
             rows.write.mode("overwrite").parquet(self._path(name, version))
 
     def write_delta(self, version: int, table: str, keys: DataFrame, fresh: DataFrame) -> None:
@@ -104,19 +108,21 @@ class Store:
         rows.write.mode("overwrite").parquet(self._path(table, version))
 
     def base(self, commits: list) -> Base:
-        return Base(**{n: self.read(n, commits) for n in ("points", "lines", "polys", "site_members")})
+        return Base(**{n: self.read(n, commits) for n in ("points", "lines", "polys", "site_members", "objects")})
 
 
 def start_store(store: Store, base: Base, grid: DataFrame, newest=None) -> None:
     """Version 0: the ingested tables and the products of a full build.
 
-    Campsites are kept without nesting marks, which depend on all other sites;
+    All features are stored twice, by place for the joins and by key for look-ups of what a
+    changed object was. Campsites are kept without nesting marks, which depend on all other sites;
     `read_campsites` adds them.
     """
     inputs = {
         "points": base.points,
         "lines": base.lines,
         "polys": base.polys,
+        "objects": base.features(),
         "site_members": base.site_members,
         "country_grid": grid,
     }
@@ -145,22 +151,26 @@ def apply_batch(store: Store, batch: DataFrame, batch_id: int) -> None:
     grid = store.read("country_grid", commits)
     old = store.base(commits)
     # the change set is read many times from here on
-    changes = written(batch, "changes")
+    seen = Observation()
+    changes = written(batch.observe(seen, F.max("ts").alias("newest")), "changes")
     latest = written(latest_versions(changes), "latest")
     new = apply_changes(old, latest)
-    sites = written(affected_sites(old, new, latest), "sites")
-    grounds = written(affected_playgrounds(old, new, latest), "grounds")
+    touched = touched_features(old, latest)
+    sites = written(affected_sites(old, new, latest, touched), "sites")
+    grounds = written(affected_playgrounds(old, new, latest, touched), "grounds")
 
     keys, fresh = latest.select(*KEY), new_features(latest)
     for name, kind in (("points", "P"), ("lines", "L"), ("polys", "A")):
         store.write_delta(version, name, keys, fresh.filter(F.col("kind") == kind))
+    store.write_delta(version, "objects", keys, fresh)
     store.write_delta(version, "site_members", changed_relations(latest), new_members(latest))
     rebuilt = written(rebuilt_campsites(new, grid, sites), "rebuilt")
     store.write_delta(version, "campsites", sites, rebuilt)
     rebuilt = written(rebuilt_playgrounds(new, grounds), "rebuilt")
     store.write_delta(version, "playgrounds", grounds, rebuilt)
-    newest = changes.agg(F.max("ts")).first()[0] or last.newest
-    store.commit(version, False, batch_id, newest)
+    # what the batch showed while it was written goes into its commit
+    newest = [ts for ts in (seen.get["newest"], last.newest) if ts]
+    store.commit(version, False, batch_id, max(newest, default=None))
     if len(commits) >= COMPACT_AFTER:
         compact(store)
 
@@ -180,13 +190,28 @@ def change_source(spark: SparkSession, path: str, files_per_batch: int | None =
     return reader.parquet(path)
 
 
+def newest_so_far(changes: DataFrame) -> DataFrame:
+    """A stream that gives, for every object a micro-batch names, the newest change of all batches.
+
+    The newest change of each object ever named is kept as keyed state. A change that is
+    older than one of an earlier batch then brings that one once more, which alters nothing.
+    There is no watermark, since any change may be the newest of its object."""
+    rest = [c for c in changes.columns if c not in KEY]
+    newest = F.max_by(F.struct(*rest), F.struct("ts", "seq")).alias("newest")
+    return changes.groupBy(*KEY).agg(newest).select(*KEY, "newest.*").select(*changes.columns)
+
+
 def run_updates(
     store: Store, changes: DataFrame, checkpoint: str, every: str | None = "10 minutes"
 ) -> StreamingQuery:
-    """Apply the feed in micro-batches: on a schedule, or all there is if `every` is None."""
+    """Apply the feed in micro-batches: on a schedule, or all there is if `every` is None.
+
+    Files may come in any order and more than once."""
     timing = {"processingTime": every} if every else {"availableNow": True}
     return (
-        changes.writeStream.foreachBatch(lambda batch, batch_id: apply_batch(store, batch, batch_id))
+        newest_so_far(changes)
+        .writeStream.outputMode("update")
+        .foreachBatch(lambda batch, batch_id: apply_batch(store, batch, batch_id))
         .option("checkpointLocation", checkpoint)
         .trigger(**timing)
         .start()
