@@ -13,9 +13,12 @@ into cells of a fixed hierarchy and meet in an equi-join.
 * The cells of the left side fill a bit field of fixed size. A row of the right side
   is copied to those of its cells only that the field may have, so what lies far
   from all areas is dropped next to the scan.
-* Cells that hold too many rows of a side are split into parts, and the other side's
-  rows of the cell are copied into each. Both sides may be split; a pair meets in
-  one part. All such cells are split, however many there are.
+* The cut cells are written once; levels, bit field and join read that table.
+* A hot cell is split while the join runs: both sides are exchanged by cell, and
+  adaptive execution (`configure`) deals a large partition of either side over several
+  tasks, which read the other side's partition each. That needs no pass to count rows.
+  With `split_rows`, for a session without it, cells that hold more rows of a side are
+  counted first and split into parts, and the other side's rows are copied into each.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 
 from sitegrid.functions import geometry as G
 from sitegrid.schema import ENVELOPE
+from sitegrid.session import written
 
 # Cell edge of level n is 2 ** (2 n - 8) degrees: about 400 m up to the whole map.
 LEVELS = list(range(9))
@@ -32,8 +36,8 @@ FEW_CELLS = 9
 MAX_CELLS = 1024
 EDGES_PER_CELL = 8
 
-# rows of one side of a cell that a task takes
-SPLIT_ROWS = 200_000
+# rows of one side of a cell that a task takes; None leaves hot cells to adaptive execution
+SPLIT_ROWS = None
 # 2 ** 22 bits in 512 KB
 FIELD_WORDS = 1 << 16
 
@@ -200,6 +204,11 @@ def area_cells(areas: DataFrame, payload: list[str]) -> DataFrame:
     )
 
 
+def levels_of(cells: DataFrame) -> Column:
+    """The levels that cells lie on, as an uncorrelated scalar subquery; only the cell numbers are read."""
+    return used_levels(cells.selectExpr("cast(shiftright(cell, 56) & 15 AS int) AS level"), "level")
+
+
 def _payload(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in ("kind", "rings", *ENVELOPE, "inner_points")]
 
@@ -216,10 +225,9 @@ def join_points(
         *[f"{c} AS l_{c}" for c in ENVELOPE],
         f"{home_level(earned)} AS l_level",
     )
-    cells = area_cells(left, left_cols)
-    right = points.selectExpr(*right_cols, "minx AS r_x", "miny AS r_y").withColumn(
-        "level", F.explode(used_levels(left, "l_level"))
-    )
+    # cutting edges is the dear part: levels, field and hot cells come from the finished cells
+    cells = written(area_cells(left, left_cols), "cells")
+    right = points.selectExpr(*right_cols, "minx AS r_x", "miny AS r_y").withColumn("level", F.explode(levels_of(cells)))
     right = right.selectExpr(
         *right_cols,
         "r_x",
@@ -285,7 +293,7 @@ def join_shapes(
     left = _shape_side(areas, "l_", left_cols)
     right = _shape_side(shapes, "r_", right_cols)
     left_levels, right_levels = used_levels(left, "l_level"), used_levels(right, "r_level")
-    left = _shape_cells(left, "l_", right_levels, home_lane=0, same=False)
+    left = written(_shape_cells(left, "l_", right_levels, home_lane=0, same=False), "cells")
     right = _shape_cells(right, "r_", left_levels, home_lane=1, same=True, field=cell_field(left))
     if not refine:
         left = left.drop("l_edges", "l_starts")
