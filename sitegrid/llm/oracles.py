@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sitegrid.llm.secret_ledger import RULES
+from sitegrid.llm.secret_ledger import BASE_RULES
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -44,15 +44,29 @@ def _spans(at: int, kind: str, pattern: str, group: int, least: int) -> str:
         FROM documents WHERE regexp_matches(text, '{quoted}'))))"""
 
 
-_KINDS = "".join(f", count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in RULES[:3])
+_KEY_MARK = "PRIVATE KEY(?: BLOCK)?-----"
+#: private keys: what follows each BEGIN is looked at by itself, up to the first END line in it. A key
+#: without an END line shows its heading only; tests compare those with the pattern in Python.
+_PEM_SPANS = rf"""
+  SELECT doc_id, 3 AS kind_at, 'pem' AS kind, start, start + 11 + len(coalesce(nullif(whole, ''), head)) AS stop, true AS holds FROM (
+    SELECT doc_id, regexp_extract(s[i], '^[A-Z0-9 ]*{_KEY_MARK}') AS head,
+      regexp_extract(s[i], '^[A-Z0-9 ]*{_KEY_MARK}(?:[\s\S])*?-----END [A-Z0-9 ]*{_KEY_MARK}') AS whole,
+      CAST(list_sum(list_transform(s[1:i - 1], lambda x: len(x))) + 11 * (i - 2) AS BIGINT) AS start
+    FROM (
+      SELECT *, unnest(range(2, len(s) + 1)) AS i FROM (
+        SELECT doc_id, string_split(text, '-----BEGIN ') AS s FROM documents WHERE contains(text, '-----BEGIN '))))
+  WHERE head <> ''"""
+
+
+_KINDS = "".join(f", count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES)
 SECRET_LEDGER = f"""
-WITH spans AS (SELECT *, kind || ':' || start || ':' || stop AS span FROM ({" UNION ALL ".join(_spans(i, r.kind, r.pattern, r.group, r.least) for i, r in enumerate(RULES))}) WHERE holds),
+WITH spans AS (SELECT *, kind || ':' || start || ':' || stop AS span FROM ({" UNION ALL ".join([*(_spans(i, r.kind, r.pattern, r.group, r.least) for i, r in enumerate(BASE_RULES)), _PEM_SPANS])}) WHERE holds),
 per_doc AS (
   SELECT doc_id{_KINDS},
     string_agg(span, ',' ORDER BY start, kind_at) FILTER (kind_at < 3) AS base, string_agg(span, ',' ORDER BY start, kind_at) AS spans
   FROM spans GROUP BY doc_id
 )
-SELECT doc_id, {", ".join(f"CAST(coalesce(n_{r.kind}, 0) AS BIGINT) AS n_{r.kind}" for r in RULES[:3])},
+SELECT doc_id, {", ".join(f"CAST(coalesce(n_{r.kind}, 0) AS BIGINT) AS n_{r.kind}" for r in BASE_RULES)},
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN per_doc USING (doc_id)
 """
