@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitegrid.llm.tables import may_be_in, written
+from sitegrid.llm.tables import may_be_in, unused, written
 
 
 @dataclass(frozen=True)
@@ -141,14 +141,15 @@ def by_blob(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def mask(docs: DataFrame, path: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """docs with each secret replaced by a mark; its number of characters follows, if there is a column for it."""
     _, ledger = scan(docs, path=path, text=text)
-    found = by_blob(ledger).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
-    named = docs.withColumn("__blob", content_address(F.col(text)))
-    maybe = may_be_in(found, "__blob")  # the other texts have no finding and are not shuffled
-    joined = named.where(maybe).join(found, "__blob", "left")
-    clean = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(masked(F.col(text), F.col("__spans")))
+    blob, spans = unused(docs, "__blob"), unused(docs, "__spans")
+    found = by_blob(ledger).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    named = docs.withColumn(blob, content_address(F.col(text)))
+    maybe = may_be_in(found, blob)  # the other texts have no finding and are not shuffled
+    joined = named.where(maybe).join(found, blob, "left")
+    clean = F.when(F.col(spans).isNull(), F.col(text)).otherwise(masked(F.col(text), F.col(spans)))
     changed = joined.withColumn(text, clean)
     if n_chars in docs.columns:
-        changed = changed.withColumn(n_chars, F.when(F.col("__spans").isNull(), F.col(n_chars)).otherwise(F.length(text)).cast(docs.schema[n_chars].dataType))
+        changed = changed.withColumn(n_chars, F.when(F.col(spans).isNull(), F.col(n_chars)).otherwise(F.length(text)).cast(docs.schema[n_chars].dataType))
     return named.where(~maybe).select(*docs.columns).unionByName(changed.select(*docs.columns))
 
 

@@ -13,7 +13,7 @@ from sitegrid.llm.text import released
 from sitegrid.operators.spatial import cell_field, may_have
 from sitegrid.session import shared_dir, written
 
-__all__ = ["fold", "gathered", "may_be_in", "prepare", "read", "shared_dir", "without", "written"]
+__all__ = ["fold", "gathered", "may_be_in", "prepare", "read", "shared_dir", "unused", "without", "written"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,14 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string")) % n
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, for a helper column beside its own."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def prepare(spark: SparkSession) -> None:
     """Small Arrow batches: a Python worker holds a batch of texts and blocks of it."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
