@@ -19,6 +19,7 @@ from sitegrid.schema import GEOMETRY, KEY
 from sitegrid.session import written
 from sitegrid.sources.fixture_views import VIEWS as FIXTURE_VIEWS
 from sitegrid.sources.fixture_views import with_views
+from sitegrid.sources import diffs
 from sitegrid.streaming import updater
 
 # Views after the change feed was applied: points replaced by their newest image.
@@ -260,3 +261,25 @@ def stream_update(t):
 def stream_update_reversed(t):
     """Changes that come after newer ones of the same object do not count."""
     return streamed(t, late_first=True)
+
+
+_DEGREES = "(cast({} AS double) - 2048) / 64"
+_BOX = ", ".join(f"{_DEGREES.format(f'{f}({c})')} AS {f}{c}" for f, c in (("min", "x"), ("min", "y"), ("max", "x"), ("max", "y")))
+_NOBOX = ", ".join(f"CAST(NULL AS double) AS {c}" for c in ("minx", "miny", "maxx", "maxy"))
+
+
+@query(
+    "SELECT 'N' AS osm_type, id AS osm_id, gone, " + ", ".join(f"CASE WHEN NOT gone THEN {_DEGREES.format('new_' + c)} END AS {f}{c}" for f, c in (("min", "x"), ("min", "y"), ("max", "x"), ("max", "y")))
+    + " FROM fx_raw_diff WHERE kind = 'n' AND id < 10000000"
+    f" UNION ALL SELECT 'R', id, true, {_NOBOX} FROM fx_raw_diff WHERE kind = 'r'"
+    f" UNION ALL SELECT osm_type, osm_id, true, {_NOBOX} FROM fx_poly WHERE osm_type = 'W' AND k % 13 = 5 AND coalesce(tourism, leisure, amenity) IS NOT NULL"
+    f" UNION ALL SELECT osm_type, osm_id, false, {_BOX} FROM (SELECT v.osm_type, v.osm_id, CASE WHEN v.ring = 0 AND v.i = 2 THEN v.x + 1 ELSE v.x END AS x,"
+    " CASE WHEN v.ring = 0 AND v.i = 2 THEN v.y + 1 ELSE v.y END AS y FROM fx_vertex v JOIN fx_poly p ON p.k = v.k WHERE coalesce(p.tourism, p.leisure, p.amenity) IS NOT NULL"
+    " AND ((p.osm_type = 'W' AND p.k % 7 = 3 AND p.k % 13 <> 5) OR (p.osm_type = 'R' AND p.k % 5 = 1))) GROUP BY osm_type, osm_id"
+)
+def raw_changes(t):
+    """A raw diff pushed from nodes to ways to multipolygons; box and fate of every POI it reaches."""
+    old = diffs.RawState.of(t.raw_nodes, t.raw_ways, t.raw_relations)
+    last = diffs.newest(t.raw_diff)
+    rows = diffs.raw_changes(old, diffs.apply_diff(old, last), last)
+    return rows.select(*KEY, F.col("new").isNull().alias("gone"), *[F.col(f"new.{c}").alias(c) for c in ("minx", "miny", "maxx", "maxy")])

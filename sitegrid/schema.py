@@ -80,6 +80,22 @@ RAW_RELATION = T.StructType(
     )
 )
 
+#: one row per change in a raw diff; what does not belong to the type is null
+RAW_CHANGE = T.StructType(
+    _fields(
+        ("seq", T.LongType()),
+        ("op", T.StringType()),
+        ("type", T.StringType()),
+        ("id", T.LongType()),
+        ("timestamp", T.LongType()),
+        ("tags", TAGS),
+        ("lon", T.DoubleType()),
+        ("lat", T.DoubleType()),
+        ("nodes", T.ArrayType(T.LongType())),
+        ("members", T.ArrayType(MEMBER)),
+    )
+)
+
 IMAGE = T.StructType(_fields(("timestamp", T.TimestampNTZType()), ("tags", TAGS)) + _GEOMETRY_FIELDS)
 
 # `new` is null for a deletion; `members` is set for relations only.

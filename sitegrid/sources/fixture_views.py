@@ -99,6 +99,14 @@ contact_website, CASE WHEN osm_id % 8 = 0 THEN 'required' END AS booking FROM fx
     "fx_way_node": """
 SELECT osm_id AS way_id, i AS pos, 10000000 + k * 16 + i AS node_id, x, y FROM fx_vertex WHERE ring
 = 0 AND osm_type = 'W'
+""",
+    "fx_raw_diff": """
+SELECT CASE WHEN osm_type = 'W' THEN 10000000 + k * 16 + i ELSE 20000000000 + k * 32 + ring * 8 + i END
+AS id, x + 1 AS new_x, y + 1 AS new_y, false AS gone, 'n' AS kind FROM fx_vertex WHERE ring = 0 AND i =
+2 AND ((osm_type = 'W' AND k % 7 = 3) OR (osm_type = 'R' AND k % 5 = 1)) UNION ALL SELECT osm_id, x + 2,
+y, osm_id % 11 = 0, 'n' FROM fx_point WHERE osm_id % 11 < 2 UNION ALL SELECT k, NULL, NULL, true, 'w'
+FROM fx_poly0 WHERE osm_type = 'W' AND k % 13 = 5 UNION ALL SELECT DISTINCT site_id, CAST(NULL AS
+bigint), CAST(NULL AS bigint), true, 'r' FROM fx_site_member WHERE (site_id - 2000000000) % 18 = 0
 """,
     "fx_point_in_poly": """
 SELECT t.k, t.area_type, t.osm_type, t.osm_id, t.kind, sum(CASE WHEN (t.y1 > t.y) <> (t.y2 > t.y)

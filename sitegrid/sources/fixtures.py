@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sitegrid.functions.geometry import point_rings, vertex
 from sitegrid.functions.tags import build_object
-from sitegrid.schema import CHANGE, ENVELOPE, IMAGE, KEY, TAGS
+from sitegrid.schema import CHANGE, ENVELOPE, IMAGE, KEY, RAW_CHANGE, TAGS
 from sitegrid.session import configure, written
 from sitegrid.sources.fixture_views import with_views
 
@@ -372,4 +372,23 @@ class Fixtures:
         )
         return areas.unionByName(sites)
 
-
+    @cached_property
+    def raw_diff(self) -> DataFrame:
+        """Moved corners of areas, moved and deleted POI nodes, deleted ways and site relations."""
+        moved = self.sql("SELECT id, new_x, new_y, gone, kind FROM fx_raw_diff")
+        tags = self.raw_nodes.select("id", "tags")
+        stamp = F.lit(1_600_000_000).cast("bigint")
+        nodes = moved.filter("kind = 'n'").join(tags, "id").select("id", "kind", "gone", "tags", degrees("new_x").alias("lon"), degrees("new_y").alias("lat"))
+        others = moved.filter("kind != 'n'").select("id", "kind", "gone", F.lit(None).cast(TAGS).alias("tags"), F.lit(None).cast("double").alias("lon"), F.lit(None).cast("double").alias("lat"))
+        empty = {"nodes": "array<bigint>", "members": RAW_CHANGE["members"].dataType}
+        return nodes.unionByName(others).select(
+            F.col("id").alias("seq"),
+            F.when(F.col("gone"), "delete").otherwise("modify").alias("op"),
+            F.col("kind").alias("type"),
+            "id",
+            stamp.alias("timestamp"),
+            "tags",
+            "lon",
+            "lat",
+            *[F.lit(None).cast(t).alias(c) for c, t in empty.items()],
+        )
