@@ -296,7 +296,7 @@ def mark_contains_sites(t):
 
 @query("SELECT osm_type, osm_id, visible FROM ora_product")
 def mark_visibility(t):
-    return mark_quality(t.related).select(*KEY, "visible")
+    return quality.visible_sites(t.related)
 
 
 @query("SELECT osm_type, osm_id, site_relation FROM ora_related")

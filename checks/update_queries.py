@@ -9,6 +9,8 @@ from checks.join_queries import FLAG_LIST, areas_of, flat_site
 from checks.oracle_views import SITES, VIEWS, shower_name
 from checks.registry import query
 from sitegrid.operators.facilities import is_playground, is_site
+from sitegrid.operators.inside import with_shape
+from sitegrid.operators.quality import nested_shapes
 from sitegrid.operators.relations import all_features, extend_members
 from sitegrid.operators.spatial import join_points
 from sitegrid.plans import incremental
@@ -208,9 +210,8 @@ def flat_marked(df):
 def campsites_after(t):
     old = base_of(t)
     new = incremental.apply_changes(old, latest(t))
-    return flat_marked(
-        incremental.incremental_campsites(t.related, new, t.country_grid, affected(t))
-    )
+    nested = t.fx.saved("nested", lambda: nested_shapes(with_shape(t.related)))
+    return flat_marked(incremental.incremental_campsites(t.marked, new, t.country_grid, affected(t), nested=nested))
 
 
 @query(

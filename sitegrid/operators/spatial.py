@@ -285,19 +285,20 @@ def join_shapes(
 ) -> DataFrame:
     """Pairs of an area and a line or area that it touches (`strict`: contains).
 
-    `refine=False` stops after the envelope test and ships no edges.
+    `refine=False` stops after the envelope test (`strict`: one envelope in the other) and
+    ships no edges.
     """
     left_cols, right_cols = _payload(areas), _payload(shapes)
-    if strict:
+    if strict and refine:
         shapes = shapes.withColumn("inner_points", F.expr(G.inside_points("rings")))
     left = _shape_side(areas, "l_", left_cols)
     right = _shape_side(shapes, "r_", right_cols)
-    left_levels, right_levels = used_levels(left, "l_level"), used_levels(right, "r_level")
-    left = written(_shape_cells(left, "l_", right_levels, home_lane=0, same=False), "cells")
-    right = _shape_cells(right, "r_", left_levels, home_lane=1, same=True, field=cell_field(left))
     if not refine:
         left = left.drop("l_edges", "l_starts")
         right = right.drop("r_edges", "r_starts")
+    left_levels, right_levels = used_levels(left, "l_level"), used_levels(right, "r_level")
+    left = written(_shape_cells(left, "l_", right_levels, home_lane=0, same=False), "cells")
+    right = _shape_cells(right, "r_", left_levels, home_lane=1, same=True, field=cell_field(left))
     left, right = split_hot(left, right, split_rows)
     level = "(shiftright(cell, 56) & 15)"
     corner = _pack(
@@ -306,7 +307,8 @@ def join_shapes(
         _cell("greatest(l_miny, r_miny)", level),
         "shiftright(cell, 60)",
     )
-    pairs = left.join(right, ["cell", "part"]).filter(f"{G.boxes_overlap('l_', 'r_')} AND cell = {corner}")
+    boxes = G.box_covers("l_", "r_") if strict else G.boxes_overlap("l_", "r_")
+    pairs = left.join(right, ["cell", "part"]).filter(f"{boxes} AND cell = {corner}")
     if refine:
         pairs = pairs.filter(G.shape_contains("l_", "r_") if strict else G.shapes_intersect("l_", "r_"))
     return pairs.select(*left_cols, *right_cols)

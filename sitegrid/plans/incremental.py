@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sitegrid.functions.tags import unify_keys, value_in
 from sitegrid.operators.facilities import SITE_RULES, SITE_TOURISM, is_playground, is_site
-from sitegrid.operators.quality import mark_quality
+from sitegrid.operators.quality import mark_quality, renew_marks
 from sitegrid.operators.relations import all_features
 from sitegrid.operators.spatial import cell_field, join_all, may_have, points_near
 from sitegrid.plans.campsites import apply_site_relations, build_campsites, restrict
@@ -225,11 +225,16 @@ def rebuilt_playgrounds(new: Base, affected: DataFrame) -> DataFrame:
 
 
 def incremental_campsites(
-    sites: DataFrame, new: Base, grid: DataFrame, affected: DataFrame, rules=SITE_RULES
+    sites: DataFrame, new: Base, grid: DataFrame, affected: DataFrame, rules=SITE_RULES, nested: DataFrame | None = None
 ) -> DataFrame:
-    """The whole product after a batch; nesting is marked anew over all sites."""
+    """The whole product after a batch.
+
+    With the nested pairs of the sites, which are then marked ones, marks are renewed around
+    what changed; without them over all sites."""
     rebuilt = rebuilt_campsites(new, grid, affected, rules)
-    return mark_quality(written(replace_rows(sites, affected, rebuilt, KEY), "merged"))
+    if nested is None:
+        return mark_quality(written(replace_rows(sites, affected, rebuilt, KEY), "merged"))
+    return renew_marks(sites, nested, affected, written(rebuilt, "rebuilt"))[0]
 
 
 def incremental_playgrounds(playgrounds: DataFrame, new: Base, affected: DataFrame) -> DataFrame:

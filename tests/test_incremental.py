@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 import shapes as S
 from conftest import SF
+from sitegrid.operators.inside import with_shape
+from sitegrid.operators.quality import nested_shapes, renew_marks
 from sitegrid.plans import incremental
 from sitegrid.plans.campsites import full_campsites
 from sitegrid.plans.incremental import Base
@@ -129,6 +131,14 @@ def test_incremental_equals_full(spark, grid, seed):
     after = incremental.incremental_campsites(sites, new, grid, keys)
     assert rows(after, CAMPSITE) == rows(full(new, grid), CAMPSITE)
 
+    # the marked product and its pairs are carried on, twice
+    nested = written(nested_shapes(with_shape(sites)), "nested")
+    rebuilt = written(incremental.rebuilt_campsites(new, grid, keys), "rebuilt")
+    marked, pairs = renew_marks(sites, nested, keys, rebuilt)
+    assert rows(marked, CAMPSITE) == rows(full(new, grid), CAMPSITE)
+    want = nested_shapes(with_shape(written(marked, "marked"))).collect()
+    assert sorted(map(tuple, pairs.select("outer", "inner").collect())) == sorted((r.outer, r.inner) for r in want)
+
     keys = written(incremental.affected_playgrounds(base, new, latest), "keys")
     after = incremental.incremental_playgrounds(grounds, new, keys)
     assert rows(after, PLAYGROUND) == rows(build_playgrounds(new.points, new.lines, new.polys), PLAYGROUND)
