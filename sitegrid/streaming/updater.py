@@ -35,6 +35,8 @@ from sitegrid.plans.incremental import (
 from sitegrid.plans.playgrounds import build_playgrounds
 from sitegrid.schema import CHANGE, KEY, TABLES
 from sitegrid.session import written
+from sitegrid.sources.diffs import ingest_raw, read_raw
+from sitegrid.sources.ingest import read_country_grid
 
 COMPACT_AFTER = 48
 _COMMIT = "version bigint, full boolean, batch_id bigint, newest timestamp_ntz"
@@ -137,6 +139,14 @@ def start_store(store: Store, base: Base, grid: DataFrame, newest=None) -> None:
     store.commit(0, True, -1, newest)
 
 
+def start_from_raw(store: Store, folder: str, grid: str) -> None:
+    """A full import: raw tables nodes, ways and relations of a folder, and a country grid, to a started store."""
+    raw = read_raw(store.spark, folder)
+    tables = ingest_raw(raw.nodes, raw.ways, raw.relations)
+    newest = tables.features().agg(F.max("timestamp")).first()[0]
+    start_store(store, tables, read_country_grid(store.spark, grid), newest)
+
+
 def read_campsites(store: Store) -> DataFrame:
     return mark_quality(store.read("campsites"))
 

@@ -5,9 +5,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF
 from sitegrid.plans import incremental
 from sitegrid.schema import RAW_CHANGE, RAW_NODE, RAW_RELATION, RAW_WAY
 from sitegrid.sources import diffs
+from sitegrid.sources.fixtures import Fixtures
+from sitegrid.streaming import updater
 
 POI = [{"tourism": "camp_site"}, {"amenity": "bar", "phone": "1"}, {"leisure": "playground"}, {"playground": "slide"}]
 NONE = [{}, {"natural": "tree"}]
@@ -102,3 +105,17 @@ def test_a_moved_node_reaches_ways_and_their_multipolygons(spark):
     multi = {i for i, row in world.relations.items() if i % 3 and any(m[1] in ways for m in row[4])}
     assert got == {("n", node)} | {("w", i) for i in ways} | {("r", i) for i in multi} and multi
     assert diffs.reached(last.filter(F.lit(False)), state.parents).count() == 0
+
+
+def test_import_of_raw_tables_starts_a_store(spark, tmp_path):
+    fx, folder = Fixtures.of(spark, SF), str(tmp_path / "raw")
+    for name in ("nodes", "ways", "relations"):
+        getattr(fx, f"raw_{name}").write.parquet(f"{folder}/{name}")
+    fx.country_grid.write.parquet(f"{folder}/grid")
+    store = updater.Store(spark, str(tmp_path / "store"))
+    updater.start_from_raw(store, folder, f"{folder}/grid")
+    want = diffs.ingest_raw(fx.raw_nodes, fx.raw_ways, fx.raw_relations)
+    for name in ("points", "lines", "polys", "site_members"):
+        assert store.read(name).count() == getattr(want, name).count() > 0
+    assert store.read("objects").count() == want.features().count()
+    assert store.read("campsites").count() > 0 and store.commits()[0].newest is not None
