@@ -25,7 +25,7 @@ from sitegrid.plans import features, sitemaps
 from sitegrid.plans.campsites import build_campsites
 from sitegrid.plans.incremental import keep_tagged
 from sitegrid.plans.playgrounds import build_playgrounds
-from sitegrid.schema import CHANGE, FACILITIES, KEY, TABLES
+from sitegrid.schema import CAMPSITE, CHANGE, FACILITIES, KEY, TABLES
 from sitegrid.session import shared_dir
 from sitegrid.sources import ingest
 from sitegrid.sources.assembly import multipolygon_geometry, way_geometry
@@ -156,10 +156,11 @@ def typed_schemas(t):
     tables = {n: getattr(t, n) for n in ("points", "lines", "polys", "site_members", "country_grid")}
     tables["campsites"] = t.built
     tables["playgrounds"] = build_playgrounds(t.points, t.lines, t.polys)
+    schemas = TABLES | {"campsites": CAMPSITE}
     counts = [
-        df.select([F.col(f.name).cast(f.dataType) for f in TABLES[n].fields])
+        df.select([F.col(f.name).cast(f.dataType) for f in schemas[n].fields])
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit(n).alias("table_name"), F.lit(len(TABLES[n])).cast("bigint").alias("n_columns"), "n")
+        .select(F.lit(n).alias("table_name"), F.lit(len(schemas[n])).cast("bigint").alias("n_columns"), "n")
         for n, df in tables.items()
     ]
     return all_features(*counts)
@@ -404,17 +405,17 @@ _BBOX = "-10,-5,20,15"
     f"SELECT s.osm_type, s.osm_id FROM ora_site s JOIN {_ALL_BOXES} b ON b.osm_type = s.osm_type AND b.osm_id = s.osm_id WHERE {_IN_BOX}"
 )
 def bbox_query(t):
-    return features.query_sites(t.marked, bbox=_BBOX).select(*KEY)
+    return features.query_sites(t.live, bbox=_BBOX).select(*KEY)
 
 
 @query("SELECT osm_type, osm_id, category FROM ora_product WHERE osm_type = 'W' AND osm_id = 21")
 def id_query(t):
-    return features.query_sites(t.marked, osm_id="21", osm_type="way").select(*KEY, "category")
+    return features.query_sites(t.live, osm_id="21", osm_type="way").select(*KEY, "category")
 
 
 @query("SELECT osm_type, osm_id FROM ora_product WHERE addr_country = 'de'")
 def country_query(t):
-    return features.query_sites(t.marked, country="DE").select(*KEY)
+    return features.query_sites(t.live, country="DE").select(*KEY)
 
 
 _REQUESTS = {
@@ -438,7 +439,7 @@ _REQUESTS = {
 )
 def request_routing(t):
     answers = [
-        features.query_sites(t.marked, **request).select(F.lit(name).alias("request"), *KEY)
+        features.query_sites(t.live, **request).select(F.lit(name).alias("request"), *KEY)
         for name, request in _REQUESTS.items()
     ]
     return all_features(*answers)

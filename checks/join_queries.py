@@ -247,7 +247,7 @@ def distinct_inner(t):
 @query("SELECT count(*) AS n FROM ora_addr WHERE addr_country = 'de'")
 def json_agg_features(t):
     """One collection document of a country; counted after parsing it again."""
-    found = features.site_features(features.query_sites(t.marked, country="de"))
+    found = features.site_features(features.query_sites(t.live, country="de"))
     document = features.feature_collection(found)
     parsed = F.from_json("collection", "type string, features array<struct<id:string>>")
     return document.select(F.size(parsed["features"]).cast("bigint").alias("n"))
@@ -349,7 +349,7 @@ def relations_applied(t):
     f"SELECT r.osm_type, r.osm_id, count(*) OVER (PARTITION BY r.addr_country) AS in_country FROM ora_product r WHERE r.addr_country = 'de'"
 )
 def query_sites(t):
-    found = features.query_sites(t.marked, country="de")
+    found = features.query_sites(t.live, country="de")
     per_country = F.count(F.lit(1)).over(Window.partitionBy(F.col("tags")["addr:country"]))
     return found.select(*KEY, per_country.alias("in_country"))
 

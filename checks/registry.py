@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -9,8 +10,11 @@ from pyspark.sql import DataFrame
 from checks.oracle_views import VIEWS
 from sitegrid.plans.campsites import apply_site_relations, build_campsites
 from sitegrid.operators.quality import mark_quality
+from sitegrid.plans.serving import served
+from sitegrid.session import shared_dir
 from sitegrid.sources.fixture_views import with_views
 from sitegrid.sources.fixtures import Fixtures
+from sitegrid.streaming.updater import Store, read_campsites
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +45,16 @@ class Tables:
     def marked(self) -> DataFrame:
         return self.fx.saved("marked", lambda: mark_quality(self.related))
 
+    @property
+    def live(self) -> DataFrame:
+        """The marked product as a store keeps it for requests."""
+        if "live" not in self.fx.stores:
+            store = Store(self.spark, f"{shared_dir(self.spark)}/live-{uuid.uuid4().hex}")
+            store.write_full(0, {"campsites": served(self.marked)})
+            store.commit(0, True, -1, None)
+            self.fx.stores["live"] = store
+        return read_campsites(self.fx.stores["live"])
+
 
 def query(oracle: str | None = None, name: str | None = None):
     def register(build):

@@ -12,7 +12,8 @@ from sitegrid.schema import GEOMETRY
 
 
 def with_shape(sites: DataFrame) -> DataFrame:
-    return sites.withColumn("shape", F.expr(shape_digest("kind", "rings")))
+    """Rows with the digest of their geometry; a stored digest is used again."""
+    return sites if "shape" in sites.columns else sites.withColumn("shape", F.expr(shape_digest("kind", "rings")))
 
 
 def distinct_shapes(sites: DataFrame) -> DataFrame:

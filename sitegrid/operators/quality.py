@@ -99,14 +99,15 @@ def others_inside():
     )
 
 
-def quality_marks(sites: DataFrame, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
+def quality_marks(sites: DataFrame, split_rows: int | None = SPLIT_ROWS, nested: DataFrame | None = None) -> DataFrame:
     """(shape, hidden, inner_sites): one row per geometry with something to mark.
 
     Only keys, geometry and the tourism tag are needed here; they are written once,
     because the steps below read them several times.
     """
     narrow = written(site_shapes(sites), "site_shapes")
-    nested = written(nested_shapes(narrow, split_rows), "nested_shapes")
+    if nested is None:
+        nested = written(nested_shapes(narrow, split_rows), "nested_shapes")
     hidden = hidden_shapes(narrow, nested).withColumn("hidden", F.lit(True))
     return hidden.join(contained_sites(narrow, nested, is_camp_inside()), "shape", "full")
 
@@ -131,10 +132,10 @@ def mark_columns() -> dict:
     }
 
 
-def mark_quality(sites: DataFrame, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
-    """Renew the `contains_sites` tag and `visible` of all sites."""
+def mark_quality(sites: DataFrame, split_rows: int | None = SPLIT_ROWS, nested: DataFrame | None = None) -> DataFrame:
+    """Renew the `contains_sites` tag and `visible` of all sites, from their nested pairs if those are known."""
     changed = mark_columns()
-    marked = with_shape(sites).join(quality_marks(sites, split_rows), "shape", "left")
+    marked = with_shape(sites).join(quality_marks(sites, split_rows, nested), "shape", "left")
     return marked.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in sites.columns])
 
 
@@ -144,49 +145,66 @@ def site_shapes(sites: DataFrame) -> DataFrame:
     return with_shape(sites).select(*KEY, tourism, "shape", *GEOMETRY)
 
 
-def renewed_pairs(nested: DataFrame, before: DataFrame, after: DataFrame, changed: DataFrame) -> DataFrame:
-    """Nested pairs after a change, from those before it. before, after: `site_shapes`; changed: shapes that left or came.
+def pair_changes(nested: DataFrame, before: DataFrame, after: DataFrame, changed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nested pairs that a change ends, and those it brings. before, after: `site_shapes`; changed: shapes that left or came.
 
     A pair of two geometries stays what it is, so pairs go with a geometry that is gone and
     only geometries that were not there before are joined, with all others near them."""
     now = distinct_shapes(after)
-    gone = changed.join(after.select("shape"), "shape", "left_anti")
-    kept = nested.join(gone.withColumnRenamed("shape", "outer"), "outer", "left_anti").join(gone.withColumnRenamed("shape", "inner"), "inner", "left_anti")
-    fresh = written(now.join(changed, "shape", "left_semi").join(before.select("shape"), "shape", "left_anti"), "fresh")
     named = lambda df, name: df.withColumnRenamed("shape", name)
+    gone = written(changed.join(after.select("shape"), "shape", "left_anti"), "gone")
+    ended = [nested.join(named(gone, side), side, "left_semi").select("outer", "inner") for side in ("outer", "inner")]
+    fresh = written(now.join(changed, "shape", "left_semi").join(before.select("shape"), "shape", "left_anti"), "fresh")
     areas = now.filter(F.col("kind") == "A")
     # fresh shapes are the side that is cut into cells; their bit field drops the rest next to the scan
     around = join_shapes(named(fresh, "inner"), named(areas, "outer"), refine=False)
     within = join_shapes(named(fresh.filter(F.col("kind") == "A"), "outer"), named(now, "inner"), refine=False)
     boxed = around.select("outer", "inner").unionByName(within.select("outer", "inner")).distinct()
-    return kept.select("outer", "inner").unionByName(proven(boxed, named(areas, "outer"), named(now, "inner")))
+    return ended[0].unionByName(ended[1]).distinct(), proven(boxed, named(areas, "outer"), named(now, "inner"))
 
 
-def renew_marks(marked: DataFrame, nested: DataFrame, affected: DataFrame, rebuilt: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The marked product and its nested pairs after `affected` sites were replaced by `rebuilt` ones.
+def with_pair_changes(nested: DataFrame, ended: DataFrame, begun: DataFrame) -> DataFrame:
+    pair = ["outer", "inner"]
+    return nested.join(ended, pair, "left_anti").select(*pair).unionByName(begun)
+
+
+def mark_changes(marked: DataFrame, nested: DataFrame, affected: DataFrame, rebuilt: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, ended, begun) after `affected` sites are replaced by `rebuilt` ones: all sites with new
+    content or new marks, as whole rows, and the nested pairs that go and come.
 
     Marks depend on the sites of a geometry and on its pairs, so only sites whose geometry
     changed its sites, or is paired with one that did, are marked anew."""
-    before = written(site_shapes(marked), "site_shapes")
+    # a stored product has its digests; otherwise they are drawn once
+    before = site_shapes(marked) if "shape" in marked.columns else written(site_shapes(marked), "site_shapes")
     new = written(site_shapes(rebuilt), "site_shapes")
     left = before.join(affected.select(*KEY), KEY, "left_semi")
     after = before.join(affected.select(*KEY), KEY, "left_anti").unionByName(new)
     changed = written(left.select("shape").unionByName(new.select("shape")).distinct(), "changed")
-    pairs = written(renewed_pairs(nested, before, after, changed), "nested_shapes")
-    both = nested.select("outer", "inner").unionByName(pairs)
+    ended, begun = (written(p, "pairs") for p in pair_changes(nested, before, after, changed))
+    both = nested.select("outer", "inner").unionByName(begun)
     outer, inner = F.col("outer").alias("shape"), F.col("inner").alias("shape")
     partners = both.join(changed.select(F.col("shape").alias("inner")), "inner").select(outer)
     partners = partners.unionByName(both.join(changed.select(F.col("shape").alias("outer")), "outer").select(inner))
     touched = written(changed.unionByName(partners).distinct(), "touched")
 
-    near = after.join(touched, "shape", "left_semi")
+    pairs = with_pair_changes(nested, ended, begun)
+    near = written(after.join(touched, "shape", "left_semi").select(*KEY, "shape"), "near")
     listed = pairs.join(touched.select(F.col("shape").alias("outer")), "outer", "left_semi").select("outer", "inner")
     hiding = pairs.join(touched.select(F.col("shape").alias("inner")), "inner", "left_semi").select("outer", "inner")
     hidden = hidden_shapes(near, hiding).withColumn("hidden", F.lit(True))
     lists = contained_sites(after, listed, is_camp_inside(), shared_shapes(near))
     marks = hidden.join(lists, "shape", "full").join(touched, "shape", "left_semi")
-    todo = near.select(*KEY, "shape").join(marks, "shape", "left")
+    todo = near.join(marks, "shape", "left").drop("shape")
     merged = marked.join(affected.select(*KEY), KEY, "left_anti").unionByName(rebuilt.select(*marked.columns))
-    joined = merged.join(todo.withColumn("todo", F.lit(True)), KEY, "left")
     changes = mark_columns()
-    return joined.select(*[F.when(F.col("todo"), changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in marked.columns]), pairs
+    rows = merged.join(todo, KEY)
+    return rows.select(*[changes[c].alias(c) if c in changes else F.col(c) for c in marked.columns]), ended, begun
+
+
+def renew_marks(marked: DataFrame, nested: DataFrame, affected: DataFrame, rebuilt: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The whole marked product and its nested pairs after `affected` sites were replaced by `rebuilt` ones."""
+    rows, ended, begun = mark_changes(marked, nested, affected, rebuilt)
+    rows = written(rows, "remarked")
+    away = affected.select(*KEY).unionByName(rows.select(*KEY))
+    stay = marked.join(away, KEY, "left_anti").select(*marked.columns)
+    return stay.unionByName(rows), with_pair_changes(nested, ended, begun)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sitegrid.functions.geometry import geojson_point, point_on_surface
 from sitegrid.functions.scalars import osm_url, round7
+from sitegrid.plans.serving import served
 from sitegrid.schema import ENVELOPE, FACILITIES
 
 # Facilities whose property has another name.
@@ -43,7 +44,7 @@ def in_box(box: tuple[float, ...]) -> Column:
 
 
 def in_country(code: str) -> Column:
-    return F.col("tags")["addr:country"] == code
+    return F.col("country") == code
 
 
 def is_object(osm_type: str, osm_id: str | int) -> Column:
@@ -71,6 +72,7 @@ def request_filter(bbox=None, country=None, osm_id=None, osm_type=None) -> Colum
 def query_sites(sites: DataFrame, bbox=None, country=None, osm_id=None, osm_type=None) -> DataFrame:
     """Sites that a request asks for; none for a bad request."""
     wanted = request_filter(bbox, country, osm_id, osm_type)
+    sites = served(sites)
     return sites.limit(0) if wanted is None else sites.filter(wanted)
 
 

@@ -151,6 +151,14 @@ CAMPSITE = T.StructType(
     + _GEOMETRY_FIELDS
 )
 
+# Campsites as they are stored, with the columns that requests filter by and the digest of `rings`.
+SERVED = T.StructType(
+    CAMPSITE.fields + _fields(("country", T.StringType()), ("tourism", T.StringType()), ("shape", T.StringType()))
+)
+
+# Digests of a geometry and of another one inside it.
+NESTED = T.StructType(_fields(("outer", T.StringType()), ("inner", T.StringType())))
+
 PLAYGROUND = T.StructType(
     _KEY_FIELDS
     + _fields(
@@ -169,6 +177,7 @@ TABLES = {
     "objects": FEATURE,
     "site_members": SITE_MEMBER,
     "country_grid": COUNTRY_GRID,
-    "campsites": CAMPSITE,
+    "campsites": SERVED,
+    "nested": NESTED,
     "playgrounds": PLAYGROUND,
 }

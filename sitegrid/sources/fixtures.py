@@ -96,6 +96,7 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._saved: dict[str, DataFrame] = {}
+        self.stores: dict = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Fixtures":

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sitegrid.operators.quality import mark_quality
+from sitegrid.operators.quality import mark_changes, mark_quality, nested_shapes
 from sitegrid.operators.relations import all_features
 from sitegrid.operators.spatial import clustered
 from sitegrid.plans.campsites import apply_site_relations, build_campsites
@@ -33,6 +33,7 @@ from sitegrid.plans.incremental import (
     touched_features,
 )
 from sitegrid.plans.playgrounds import build_playgrounds
+from sitegrid.plans.serving import along_curve, served
 from sitegrid.schema import CHANGE, KEY, TABLES
 from sitegrid.session import written
 from sitegrid.sources.diffs import ingest_raw, read_raw
@@ -43,6 +44,7 @@ _COMMIT = "version bigint, full boolean, batch_id bigint, newest timestamp_ntz"
 
 KEYS = {name: KEY for name in ("points", "lines", "polys", "objects", "campsites", "playgrounds")}
 KEYS["site_members"] = ["site_id"]
+KEYS["nested"] = ["outer", "inner"]
 
 
 class Store:
@@ -94,6 +96,8 @@ class Store:
             rows = df.select(*columns)
             if name == "objects":
                 rows = rows.repartitionByRange(*KEY).sortWithinPartitions(*KEY)
+            elif name == "campsites":
+                rows = along_curve(rows)
             elif "minx" in columns and "osm_id" in columns:
                 rows = clustered(rows)
             rows.write.mode("overwrite").parquet(self._path(name, version))
@@ -117,8 +121,8 @@ def start_store(store: Store, base: Base, grid: DataFrame, newest=None) -> None:
     """Version 0: the ingested tables and the products of a full build.
 
     All features are stored twice, by place for the joins and by key for look-ups of what a
-    changed object was. Campsites are kept without nesting marks, which depend on all other sites;
-    `read_campsites` adds them.
+    changed object was. Campsites carry their nesting marks, and the nested pairs of their geometries
+    are kept beside them, so that a batch renews marks around its changes only.
     """
     inputs = {
         "points": base.points,
@@ -131,11 +135,14 @@ def start_store(store: Store, base: Base, grid: DataFrame, newest=None) -> None:
     store.write_full(0, inputs)
     saved = {n: store.spark.read.schema(TABLES[n]).parquet(store._path(n, 0)) for n in inputs}
     built = build_campsites(saved["points"], saved["polys"], saved["country_grid"])
-    sites = apply_site_relations(
+    related = apply_site_relations(
         built, saved["site_members"], saved["points"], saved["lines"], saved["polys"]
     )
+    sites = written(served(related), "sites")
     grounds = build_playgrounds(saved["points"], saved["lines"], saved["polys"])
-    store.write_full(0, {"campsites": sites, "playgrounds": grounds})
+    store.write_full(0, {"nested": nested_shapes(sites), "playgrounds": grounds})
+    nested = store.spark.read.schema(TABLES["nested"]).parquet(store._path("nested", 0))
+    store.write_full(0, {"campsites": mark_quality(sites, nested=nested)})
     store.commit(0, True, -1, newest)
 
 
@@ -148,7 +155,8 @@ def start_from_raw(store: Store, folder: str, grid: str) -> None:
 
 
 def read_campsites(store: Store) -> DataFrame:
-    return mark_quality(store.read("campsites"))
+    """The marked product, for requests: filters on box, country and id reach the scan."""
+    return store.read("campsites")
 
 
 def apply_batch(store: Store, batch: DataFrame, batch_id: int) -> None:
@@ -174,8 +182,11 @@ def apply_batch(store: Store, batch: DataFrame, batch_id: int) -> None:
         store.write_delta(version, name, keys, fresh.filter(F.col("kind") == kind))
     store.write_delta(version, "objects", keys, fresh)
     store.write_delta(version, "site_members", changed_relations(latest), new_members(latest))
-    rebuilt = written(rebuilt_campsites(new, grid, sites), "rebuilt")
-    store.write_delta(version, "campsites", sites, rebuilt)
+    rebuilt = written(served(rebuilt_campsites(new, grid, sites)), "rebuilt")
+    marked, nested = store.read("campsites", commits), store.read("nested", commits)
+    rows, ended, begun = mark_changes(marked, nested, sites, rebuilt)
+    store.write_delta(version, "campsites", sites, written(rows, "remarked"))
+    store.write_delta(version, "nested", ended, begun)
     rebuilt = written(rebuilt_playgrounds(new, grounds), "rebuilt")
     store.write_delta(version, "playgrounds", grounds, rebuilt)
     # what the batch showed while it was written goes into its commit

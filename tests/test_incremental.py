@@ -13,6 +13,7 @@ from sitegrid.operators.quality import nested_shapes, renew_marks
 from sitegrid.plans import incremental
 from sitegrid.plans.campsites import full_campsites
 from sitegrid.plans.incremental import Base
+from sitegrid.plans import features
 from sitegrid.plans.playgrounds import build_playgrounds
 from sitegrid.schema import CAMPSITE, CHANGE, COUNTRY_GRID, PLAYGROUND
 from sitegrid.session import written
@@ -162,7 +163,13 @@ def test_store_follows_the_feed(spark, grid, tmp_path):
         base = stored(spark, incremental.apply_changes(base, incremental.latest_versions(batch)))
     assert [c.version for c in store.commits()] == [0, 1, 2]
     expected = rows(full(base, grid), CAMPSITE)
-    assert rows(updater.read_campsites(store), CAMPSITE) == expected
+    live = updater.read_campsites(store)
+    assert rows(live, CAMPSITE) == expected
+    # requests on the stored product, over a full and small versions
+    whole = full(base, grid)
+    for request in ({"country": "AA"}, {"bbox": "2,2,6,6"}):
+        want = rows(features.query_sites(whole, **request), CAMPSITE)
+        assert rows(features.query_sites(live, **request), CAMPSITE) == want and want
     updater.compact(store)
     assert [c.version for c in store.commits()] == [3]
     assert rows(updater.read_campsites(store), CAMPSITE) == expected

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from checks.registry import Tables
 from conftest import SF
 from sitegrid.plans import features, sitemaps
+from sitegrid.plans.serving import curve, served
 from sitegrid.schema import KEY
+from sitegrid.streaming import updater
 
 
 @pytest.fixture(scope="module")
@@ -90,3 +92,30 @@ def test_box_filter_reaches_the_scan(sites):
     scan = plan[plan.rindex("FileScan") :]
     assert "PushedFilters: [IsNotNull(minx)" in scan and "LessThanOrEqual(minx,1.0)" in scan
     assert "tags" not in scan[scan.index("ReadSchema") :]
+
+
+def test_stored_product_skips_by_box_and_country(spark, sites, tmp_path):
+    """Country and box are pushed to the scan, and row groups of the stored order are narrow."""
+    store = updater.Store(spark, str(tmp_path / "store"))
+    store.write_full(0, {"campsites": served(sites)})
+    store.commit(0, True, -1, None)
+    live = updater.read_campsites(store)
+    for request, pushed in (({"country": "de"}, "EqualTo(country,de)"), ({"bbox": "-9,-9,8,8"}, "LessThanOrEqual(minx,8.0)")):
+        plan = features.query_sites(live, **request).select(*KEY)._jdf.queryExecution().toString()
+        scan = plan[plan.rindex("FileScan") :]
+        assert pushed in scan and "tags" not in scan[scan.index("ReadSchema") :]
+        want = features.query_sites(sites, **request).select(*KEY).collect()
+        assert sorted(features.query_sites(live, **request).select(*KEY).collect()) == sorted(want) and want
+    # neighbours in the file are neighbours on the map
+    def way(rows):
+        return sum(abs(a.minx - b.minx) + abs(a.miny - b.miny) for a, b in zip(rows, rows[1:]))
+
+    stored = live.select("minx", "miny").collect()
+    assert way(stored) < way(sites.orderBy(*KEY).select("minx", "miny").collect()) / 2
+
+
+
+def test_curve_interleaves_both_axes(spark):
+    points = spark.createDataFrame([(-180.0, -90.0), (180.0, 90.0), (0.0, -90.0), (-180.0, 0.0), (500.0, -90.0)], "minx double, miny double")
+    got = [r[0] for r in points.select(curve()).collect()]
+    assert got == [0, (1 << 32) - 1, 1 << 30, 1 << 31, 0x55555555]
