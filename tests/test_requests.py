@@ -68,19 +68,24 @@ def test_written_outputs(spark, sites, tmp_path):
     features.write_features(features.site_features(sites), path)
     assert spark.read.json(path).count() == sites.count()
     urls = sitemaps.sitemap_urls(sites, "https://maps.example")
-    target = str(tmp_path / "sitemaps")
-    sitemaps.write_sitemaps(urls, target)
-    back = spark.read.option("wholetext", True).text(target)
-    text = "".join(r.value for r in back.select("value").collect())
-    assert text.count("<url>") == urls.count() and text.count('hreflang="ru"') == urls.count()
-    # every file is a whole document, also where a country has several
-    small = str(tmp_path / "small")
-    sitemaps.write_sitemaps(urls, small, per_file=5)
-    for folder, least in ((target, 1), (small, 2)):
-        files = [f for f in Path(folder).rglob("part-*") if f.is_file()]
-        roots = [ElementTree.fromstring(f.read_bytes()) for f in files]
-        assert len(files) >= least and len({f.parent for f in files}) == len(files)
-        assert sum(len(root) for root in roots) == urls.count()
+    # every file is a whole document, also where a country has several, and the index names all of them
+    for name, per_file, least in (("sitemaps", 45_000, 1), ("small", 5, 2)):
+        folder = tmp_path / name
+        parts = sitemaps.sitemap_parts(urls, sitemaps.country_dates(sites), per_file)
+        sitemaps.write_sitemaps(urls, str(folder), parts, per_file)
+        files = {f.parent.name.removeprefix("file="): f for f in folder.rglob("part-*") if f.is_file()}
+        sizes = [len(ElementTree.fromstring(f.read_bytes())) for f in files.values()]
+        assert len(files) >= least and len(files) == parts.count()
+        assert sum(sizes) == urls.count() and max(sizes) <= per_file
+        index = sitemaps.index_document(sitemaps.sitemap_index(sites, "https://maps.example", parts)).first()[0]
+        links = [e.text for e in ElementTree.fromstring(index.encode()).iter() if e.tag.endswith("loc")]
+        assert sorted(links) == sorted(f"https://maps.example/sitemaps/{n}" for n in files)
+        # the parts of a country continue each other
+        of_de = [n for n in files if n.startswith("de")]
+        of_de.sort(key=lambda n: int(n.removeprefix("de").removesuffix(".xml").removeprefix("-") or 1))
+        entries = "".join(files[n].read_text().removeprefix(sitemaps.URLSET_HEAD).removesuffix(sitemaps.URLSET_TAIL) for n in of_de)
+        rows = urls.filter("country = 'de'").orderBy("osm_type", "osm_id").collect()
+        assert entries == "".join(r.entry for r in rows) and rows
     document = sitemaps.sitemap_document(urls.filter("country = 'de'")).first()[0]
     assert document.startswith("<?xml") and document.endswith("</urlset>\n")
     index = sitemaps.index_document(sitemaps.sitemap_index(sites, "https://maps.example")).first()[0]
