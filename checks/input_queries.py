@@ -268,6 +268,18 @@ def sitemap_urls(t):
     return sitemaps.sitemap_urls(t.marked, BASE_URL)
 
 
+@query(
+    "SELECT addr_country AS country, (row_number() OVER w - 1) // 7 AS part, osm_type, osm_id, row_number() OVER w - 1 AS position FROM ora_product"
+    " WHERE visible AND name IS NOT NULL AND addr_country IS NOT NULL WINDOW w AS (PARTITION BY addr_country ORDER BY osm_type, osm_id)"
+)
+def sitemap_parts(t):
+    """Place of every entry in the documents of its country, in parts of seven."""
+    urls = sitemaps.sitemap_urls(t.marked, BASE_URL)
+    parts = sitemaps.sitemap_parts(urls, sitemaps.country_dates(t.marked), 7)
+    placed = sitemaps.numbered(urls).withColumn("part", F.expr("position DIV 7"))
+    return placed.join(parts, ["country", "part"]).select("country", "part", *KEY, "position")
+
+
 @query(
     f"SELECT addr_country AS country, chr(9) || '<sitemap>' || chr(10) || chr(9) || chr(9) || '<loc>{BASE_URL}/sitemaps/' || addr_country || '.xml</loc>' || chr(10)"
     " || chr(9) || chr(9) || '<lastmod>' || strftime(max(ts), '%Y-%m-%dT%H:%M:%S') || '+00:00</lastmod>' || chr(10) || chr(9) || '</sitemap>' || chr(10) AS entry"
