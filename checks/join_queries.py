@@ -151,12 +151,14 @@ def site_contains_site(t):
 @query(
     "SELECT s.site_id, s.osm_type, s.osm_id FROM ora_member s JOIN ora_member r ON r.site_id = s.site_id AND NOT r.camp"
     " LEFT JOIN ora_within w ON w.k = s.k AND w.osm_type = r.osm_type AND w.osm_id = r.osm_id"
-    " WHERE s.camp AND s.shape_kind = 'A' GROUP BY s.site_id, s.osm_type, s.osm_id HAVING bool_and(w.k IS NOT NULL)"
+    " LEFT JOIN fx_point sp ON s.shape_kind = 'P' AND sp.osm_type = s.osm_type AND sp.osm_id = s.osm_id"
+    " LEFT JOIN fx_point rp ON s.shape_kind = 'P' AND rp.osm_type = r.osm_type AND rp.osm_id = r.osm_id"
+    " WHERE s.camp GROUP BY s.site_id, s.osm_type, s.osm_id"
+    " HAVING bool_and(w.k IS NOT NULL OR coalesce(sp.x = rp.x AND sp.y = rp.y, false))"
 )
 def members_within_site(t):
     members = members_of(t)
-    found = relations.all_within(members, relations.relation_summary(members))
-    return found.filter("osm_type <> 'N'")
+    return relations.all_within(members, relations.relation_summary(members))
 
 
 @query(

@@ -22,8 +22,9 @@ from sitegrid.operators.facilities import (
     poi_shower,
     shower_label,
 )
-from sitegrid.operators.spatial import cell_field, may_have
+from sitegrid.operators.spatial import AREA_LEVEL, CELL_LEVEL, area_cells, cell_field, may_have, point_cell
 from sitegrid.schema import ENVELOPE, GEOMETRY, KEY
+from sitegrid.session import written
 
 # Tags of a relation that are not handed to its sites, and the markers we add.
 NOT_INHERITED = ["type", "site", "addr:country"]
@@ -91,12 +92,39 @@ def camp_members(members: DataFrame) -> DataFrame:
     return members.filter(is_camp(F.col("member_tags")))
 
 
+def _covered_places(shapes: DataFrame, places: DataFrame) -> DataFrame:
+    """(site_id, shape, n): how many distinct places of its relation each area surrounds.
+
+    Areas are cut into cells. A cell all inside an area takes the number of places that its
+    relation has there, which is counted before it meets any area; only cells on an area's
+    edge meet single places. So a row is a cell of an area, not an area and a member.
+    """
+    keys = ["site_id", "shape"]
+    left = shapes.select(
+        *keys,
+        F.expr(G.edges("rings")).alias("l_edges"),
+        *[F.col(c).alias("l_" + c) for c in ENVELOPE],
+        F.expr(AREA_LEVEL).alias("l_level"),
+    )
+    cells = written(area_cells(left, keys), "cells").withColumn("level", F.expr(CELL_LEVEL))
+    used = cells.select("site_id", "level").distinct()
+    placed = places.join(used, "site_id").select("site_id", "x", "y", F.expr(point_cell("level", "x", "y")).alias("cell"))
+    counts = placed.groupBy("site_id", "cell").agg(F.count(F.lit(1)).alias("n"))
+    inside = cells.filter("l_edges IS NULL").join(counts, ["site_id", "cell"]).select(*keys, "n")
+    exact = G.covers_point("l_edges", "x", "y", strict=True)
+    box = "x BETWEEN l_minx AND l_maxx AND y BETWEEN l_miny AND l_maxy"
+    edge = cells.filter("l_edges IS NOT NULL").join(placed, ["site_id", "cell"]).filter(f"{box} AND {exact}")
+    return inside.unionByName(edge.select(*keys, F.lit(1).cast("bigint").alias("n"))).groupBy(*keys).agg(F.sum("n").alias("n"))
+
+
 def all_within(members: DataFrame, summary: DataFrame) -> DataFrame:
     """(site_id, osm_type, osm_id) of sites around all non-camp members.
 
     The envelope of all other members must lie in the site's envelope, which
-    settles almost every relation without a pair. The rest is tested exactly, once
-    per distinct site geometry. A point surrounds only points of its own place.
+    settles almost every relation. The rest is a division by counting: an area is around
+    all members if it surrounds as many distinct places as its relation has. Lines and
+    areas among the members, each shape once, meet only the areas that pass. Sites of one
+    geometry count once. A point surrounds only points of its own place.
     """
     reach = summary.filter(F.col("others") > 0).select("site_id", "o_minx", "o_miny", "o_maxx", "o_maxy")
     camps = (
@@ -108,31 +136,36 @@ def all_within(members: DataFrame, summary: DataFrame) -> DataFrame:
         .withColumn("shape", F.expr(G.shape_digest("kind", "rings")))
     )
     same_place = camps.filter(F.col("kind") == "P").select("site_id", *KEY)
-    areas = camps.filter(F.col("kind") == "A")
-    shapes = areas.dropDuplicates(["site_id", "shape"]).select(
-        "site_id",
-        "shape",
-        F.expr(G.edges("rings")).alias("l_edges"),
-        *[F.col(c).alias("l_" + c) for c in ENVELOPE],
-    )
-    others = members.filter(~is_camp(F.col("member_tags"))).select(
-        "site_id",
-        F.col("kind").alias("r_kind"),
-        F.expr(G.edges("rings")).alias("r_edges"),
-        F.expr(G.inside_points("rings")).alias("r_inner_points"),
-        *[F.col(c).alias("r_" + c) for c in ENVELOPE],
+    areas = written(camps.filter(F.col("kind") == "A"), "camp-areas")
+    shapes = areas.dropDuplicates(["site_id", "shape"]).select("site_id", "shape", "rings", *ENVELOPE)
+    asked = areas.select("site_id").distinct()
+    others = members.filter(~is_camp(F.col("member_tags"))).join(asked, "site_id", "left_semi")
+    places = others.filter(F.col("kind") == "P").selectExpr("site_id", "minx AS x", "miny AS y").distinct()
+    places = written(places, "member-places")
+
+    total = places.groupBy("site_id").agg(F.count(F.lit(1)).alias("places"))
+    around_places = written(
+        shapes.join(total, "site_id", "left")
+        .join(_covered_places(shapes, places), ["site_id", "shape"], "left")
+        .filter("coalesce(places, 0) = coalesce(n, 0)")
+        .select("site_id", "shape", F.expr(G.edges("rings")).alias("l_edges"), *[F.col(c).alias("l_" + c) for c in ENVELOPE]),
+        "around-places",
     )
-    within = F.when(
-        F.col("r_kind") == "P",
-        F.expr(G.covers_point("l_edges", "r_minx", "r_miny", strict=True)),
-    ).otherwise(F.expr(G.shape_contains("l_", "r_")))
-    covering = (
-        shapes.join(others, "site_id")
-        .groupBy("site_id", "shape")
-        .agg(F.bool_and(within).alias("within"))
-        .filter("within")
-        .select("site_id", "shape")
+    extended = (
+        others.filter(F.col("kind") != "P")
+        .withColumn("member", F.expr(G.shape_digest("kind", "rings")))
+        .dropDuplicates(["site_id", "member"])
+        .select(
+            "site_id",
+            F.col("kind").alias("r_kind"),
+            F.expr(G.edges("rings")).alias("r_edges"),
+            F.expr(G.inside_points("rings")).alias("r_inner_points"),
+            *[F.col(c).alias("r_" + c) for c in ENVELOPE],
+        )
     )
+    outside = ~F.coalesce(F.expr(G.shape_contains("l_", "r_")), F.lit(False))
+    cut = around_places.join(extended, "site_id").filter(outside).select("site_id", "shape").distinct()
+    covering = around_places.select("site_id", "shape").join(cut, ["site_id", "shape"], "left_anti")
     around = areas.join(covering, ["site_id", "shape"], "left_semi").select("site_id", *KEY)
     return around.unionByName(same_place)
 

@@ -68,6 +68,16 @@ def home_level(allowed: str, prefix: str = "") -> str:
     return f"CASE {' '.join(steps)} ELSE {LEVELS[-1]} END"
 
 
+#: level of an area that meets points: more cells for more vertices
+AREA_LEVEL = home_level(f"least({MAX_CELLS}, greatest({FEW_CELLS}, size(flatten(rings)) / {EDGES_PER_CELL}))")
+#: level of a finished cell
+CELL_LEVEL = "cast(shiftright(cell, 56) & 15 AS int)"
+
+
+def point_cell(level: str, x: str, y: str) -> str:
+    return _pack(level, _cell(x, level), _cell(y, level))
+
+
 def cover(prefix: str, level: str) -> str:
     """Cells of `level` under the box, as array<struct<level,cx,cy>>."""
     xs = f"sequence({_cell(prefix + 'minx', level)}, {_cell(prefix + 'maxx', level)})"
@@ -206,7 +216,7 @@ def area_cells(areas: DataFrame, payload: list[str]) -> DataFrame:
 
 def levels_of(cells: DataFrame) -> Column:
     """The levels that cells lie on, as an uncorrelated scalar subquery; only the cell numbers are read."""
-    return used_levels(cells.selectExpr("cast(shiftright(cell, 56) & 15 AS int) AS level"), "level")
+    return used_levels(cells.selectExpr(f"{CELL_LEVEL} AS level"), "level")
 
 
 def _payload(df: DataFrame) -> list[str]:
@@ -218,12 +228,11 @@ def join_points(
 ) -> DataFrame:
     """Pairs of an area and a point in it; on the boundary too unless `strict`."""
     left_cols, right_cols = _payload(areas), _payload(points)
-    earned = f"least({MAX_CELLS}, greatest({FEW_CELLS}, size(flatten(rings)) / {EDGES_PER_CELL}))"
     left = areas.selectExpr(
         *left_cols,
         f"{G.edges('rings')} AS l_edges",
         *[f"{c} AS l_{c}" for c in ENVELOPE],
-        f"{home_level(earned)} AS l_level",
+        f"{AREA_LEVEL} AS l_level",
     )
     # cutting edges is the dear part: levels, field and hot cells come from the finished cells
     cells = written(area_cells(left, left_cols), "cells")
@@ -232,7 +241,7 @@ def join_points(
         *right_cols,
         "r_x",
         "r_y",
-        f"{_pack('level', _cell('r_x', 'level'), _cell('r_y', 'level'))} AS cell",
+        f"{point_cell('level', 'r_x', 'r_y')} AS cell",
     ).filter(may_have(cell_field(cells), "cell"))
     left, right = split_hot(cells, right, split_rows)
     in_box = "r_x BETWEEN l_minx AND l_maxx AND r_y BETWEEN l_miny AND l_maxy"
