@@ -16,9 +16,13 @@ BLOCKS, BITS = 256, 18
 
 
 def _places(h: np.ndarray) -> list[np.ndarray]:
-    """Two bits of the block that the top byte names."""
-    top, mask = (h >> U64(56)).astype(np.int64) << BITS, U64((1 << BITS) - 1)
-    return [top | ((h >> U64(shift)) & mask).astype(np.int64) for shift in (38, 20)]
+    """Two bits of the block that the low byte names.
+
+    Callers put in least hashes of a window too, whose high bits are near zero; low bits of
+    a mixed hash are even in any case.
+    """
+    block, mask = (h & U64(BLOCKS - 1)).astype(np.int64) << BITS, U64((1 << BITS) - 1)
+    return [block | ((h >> U64(shift)) & mask).astype(np.int64) for shift in (8, 26)]
 
 
 class Bloom:
@@ -48,7 +52,7 @@ def bloom(hashes: DataFrame, column: str = "h") -> Bloom:
         for block, bits in blocks.items():
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], schema=schema)
 
-    dealt = hashes.select(F.col(column).alias("h")).repartition(F.shiftrightunsigned("h", 56))
+    dealt = hashes.select(F.col(column).alias("h")).repartition(F.col("h").bitwiseAND(BLOCKS - 1))
     bits = np.zeros(BLOCKS << (BITS - 3), np.uint8)
     for row in dealt.mapInArrow(released(run), from_arrow_schema(schema)).collect():
         part = np.frombuffer(row["bits"], np.uint8)
