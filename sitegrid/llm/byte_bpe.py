@@ -304,6 +304,8 @@ def vocabulary_of(path: str) -> Vocabulary:
 
 
 HASH = Hasher(seed=6)
+#: bytes of text that a worker encodes at once, or one text if that is longer
+BLOCK = 1 << 18
 
 
 def encode(block: Block, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -364,7 +366,7 @@ def _run(docs: DataFrame, path: str, text: Column | str, doc_id: Column | str, w
     def run(batches):
         vocabulary = vocabulary_of(path)
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), BLOCK):
                 ids, first, offsets = encode(block, vocabulary)
                 back = decode(ids, vocabulary)
                 until = np.append(0, np.cumsum(vocabulary.lengths[ids]))[first]
