@@ -7,9 +7,10 @@ suffix: the log-likelihood gained by it over the training text is the test. The
 symbol's distribution is smoothed with that of the longest shorter context in the tree,
 and a text is scored with the longest context in the tree at every symbol.
 
-The test alone decides what the tree holds. Its best states by gain, up to `MAX_STATES`
-and `MAX_ENTRIES`, travel to every task. Symbols with a context among the other states are
-scored once per distinct context in a table, and meet the texts in a join. Words, for the
+The test alone decides what the tree holds. A tree of up to `MAX_STATES` states and
+`MAX_ENTRIES` counts travels to every task. Of a larger one the log probability of every
+distinct symbol with its context is worked out once in a table; the commonest `MAX_ENTRIES`
+of these travel, and only the others, which are rare, meet the texts in a join. Words, for the
 base score, do likewise: the commonest travel, the others are joined. Counts of words and
 of symbols cover all training texts.
 
@@ -27,12 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from sitegrid.llm.bloom import Bloom, bloom
 from sitegrid.llm.tables import gathered, written
 from sitegrid.llm.text import LOWER, Block, Hasher, blocks, gather, mix, owners, released, signed, sums_by, words
 
 DEPTH, LEAST_GAIN, LEAST_COUNT = 5, 12.0, 8
-#: what travels to every task; the rest of the tree is joined
+#: what travels to every task; the rest is joined
 MAX_STATES, MAX_ENTRIES = 100_000, 1_000_000
 COMMON = 1 << 17
 SYMBOLS = 256
@@ -155,11 +155,11 @@ class Tree:
         return np.log10(p)
 
 
-def grow(symbols: DataFrame, depth: int = DEPTH, least_gain: float = LEAST_GAIN, least_count: int = LEAST_COUNT, max_states: int = MAX_STATES, max_entries: int = MAX_ENTRIES) -> tuple[Tree, DataFrame | None, DataFrame]:
+def grow(symbols: DataFrame, depth: int = DEPTH, least_gain: float = LEAST_GAIN, least_count: int = LEAST_COUNT, max_states: int = MAX_STATES, max_entries: int = MAX_ENTRIES) -> tuple[Tree, bool, DataFrame]:
     """The tree of packed symbol counts (key, n), through one aggregation per depth.
 
-    Its best states within the limits; the other states, if any, with depth and context;
-    and the counts after all states: depth, key, n, total and kinds."""
+    Whether it is whole, with no state where it would be beyond the limits; and the counts
+    after all states: depth, key, n, total and kinds."""
     levels = {depth: symbols.select("key", "n")}
     for d in range(depth - 1, -1, -1):
         shorter = levels[d + 1].groupBy(F.col("key").bitwiseAND((1 << (8 * (d + 1))) - 1).alias("key")).agg(F.sum("n").alias("n"))
@@ -176,71 +176,51 @@ def grow(symbols: DataFrame, depth: int = DEPTH, least_gain: float = LEAST_GAIN,
         below_total = below.groupBy("shorter_context").agg(F.sum("shorter_n").alias("shorter_total"))
         tested = own.join(total, "context").join(below, "shorter").join(below_total, "shorter_context")
         gain = F.sum(F.col("n") * (F.log(F.col("n") / F.col("total")) - F.log(F.col("shorter_n") / F.col("shorter_total"))))
-        level = tested.groupBy("context").agg(F.round(gain, 3).alias("gain"), F.first("total").alias("total"), F.first("kinds").alias("kinds")).where(F.col("gain") >= least_gain)
-        level = level.select(F.lit(d).alias("depth"), "context", "gain", "total", "kinds")
-        states = level if states is None else states.union(level)
+        kept = tested.groupBy("context").agg(F.round(gain, 3).alias("gain"), F.first("total").alias("total"), F.first("kinds").alias("kinds")).where(F.col("gain") >= least_gain)
+        kept = kept.select(F.lit(d).alias("depth"), "context", "gain", "total", "kinds")
+        states = kept if states is None else states.union(kept)
     states = written(states, "states")
-    chosen = gathered(states.orderBy(F.desc("gain"), "depth", "context").limit(max_states))
-    order = np.lexsort((chosen["context"], chosen["depth"], -chosen["gain"]))
-    order = order[np.cumsum(chosen["kinds"][order]) <= max_entries]
-    chosen = {c: x[order] for c, x in chosen.items()}
-    out = []
-    for d in range(1, depth + 1):
-        mine = np.flatnonzero(chosen["depth"] == d)
-        mine = mine[np.argsort(chosen["context"][mine])]
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(mine):
-            gain, at, context = (chosen[c][-1].item() for c in ("gain", "depth", "context"))  # of the last state in the tree
-            later = (F.col("depth") > at) | ((F.col("depth") == at) & (F.col("context") > context))
-            kept = states.where((F.col("depth") == d) & ((F.col("gain") > gain) | ((F.col("gain") == gain) & ~later))).select("context")
-            # as many rows as the chosen states have symbols, which max_entries bounds
-            rows = gathered(levels[d].withColumn("context", F.shiftright("key", 8)).join(kept, "context").select("key", "n"))
-            by_key = np.argsort(rows["key"])
-            keys, counts = rows["key"][by_key], rows["n"][by_key]
-        out.append((chosen["context"][mine].view(np.uint64), chosen["total"][mine].astype(np.float64), chosen["kinds"][mine].astype(np.float64), keys.view(np.uint64), counts.astype(np.float64)))
-    rest = None
-    if len(order) < states.count():
-        rest = states
-        if len(order):
-            gain, at, context = (chosen[c][-1].item() for c in ("gain", "depth", "context"))
-            rest = states.where((F.col("gain") < gain) | ((F.col("gain") == gain) & ((F.col("depth") > at) | ((F.col("depth") == at) & (F.col("context") > context)))))
-        rest = rest.select("depth", "context")
     after = None
     for d in range(1, depth + 1):
         own = levels[d].withColumn("context", F.shiftright("key", 8)).join(states.where(F.col("depth") == d).select("context", "total", "kinds"), "context")
         own = own.select(F.lit(d).alias("depth"), "key", "n", "total", "kinds")
         after = own if after is None else after.union(own)
-    return Tree(out, root), rest, after
-
-
-def state_hashes(depth, context: np.ndarray) -> np.ndarray:
-    return mix(context ^ (np.asarray(depth).astype(np.uint64) << U64(56)))
-
+    n_states, n_entries = states.agg(F.count("*"), F.coalesce(F.sum("kinds"), F.lit(0))).first()
+    whole = n_states <= max_states and n_entries <= max_entries
+    out = []
+    for d in range(1, depth + 1) if whole else ():
+        rows = gathered(after.where(F.col("depth") == d).select("key", "n", "total", "kinds"))
+        out.append(level(rows["key"].view(np.uint64), *(rows[c].astype(np.float64) for c in ("n", "total", "kinds"))))
+    return Tree(out, root), whole, after
 
-def hashed_states(batches):
-    for batch in batches:
-        depth, context = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(signed(state_hashes(depth, context.view(np.uint64))))], names=["h"])
 
+class Known:
+    """Log probabilities of packed keys that are known beforehand, as a tree gives them; the others are not."""
 
-def may_need(packed: np.ndarray, sieve: Bloom) -> np.ndarray:
-    """True for all packed keys with a context among the states of the sieve, and for few others."""
-    out = np.zeros(len(packed), bool)
-    for d in range(1, DEPTH + 1):
-        left = np.flatnonzero(~out)
-        out[left] = sieve.may(state_hashes(d, (packed[left] >> U64(8)) & U64((1 << (8 * d)) - 1)))
-    return out
+    def __init__(self, keys: np.ndarray, p: np.ndarray):
+        by_key = np.argsort(keys)
+        self.keys, self.p = keys[by_key], p[by_key]
 
+    def look_up(self, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log probability of each packed key, zero for others, and which are others."""
+        if not len(self.keys):
+            return np.zeros(len(packed)), np.ones(len(packed), bool)
+        at = np.minimum(np.searchsorted(self.keys, packed), len(self.keys) - 1)
+        there = self.keys[at] == packed
+        return np.where(there, self.p[at], 0.0), ~there
 
-def needed(sieve):
-    """Packed keys that may have a context among the states of the sieve."""
 
-    def run(batches):
-        for batch in batches:
-            keys = batch.column(0).to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(keys[may_need(keys, sieve.value)]))], names=["key"])
-
-    return run
+def commonest(keys: DataFrame, limit: int) -> int:
+    """The least n for which no more than `limit` rows of keys have n or more; by a bounded number of classes of n."""
+    bucket = F.floor(F.log2("n") * 8)
+    counts = keys.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("rows"), F.min("n").alias("least")).collect()
+    total, least = 0, (1 << 63) - 1
+    for r in sorted(counts, key=lambda r: -r["bucket"]):
+        total += r["rows"]
+        if total > limit:
+            break
+        least = r["least"]
+    return least
 
 
 def level(keys: np.ndarray, n: np.ndarray, totals: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -264,7 +244,7 @@ def looked_up(shallow, size: int = 1 << 16):
             columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
             parts = []
             ask = columns[1] > DEPTH
-            packed = columns[2][ask].view(np.uint64)
+            packed, n = columns[2][ask].view(np.uint64), columns[3][ask]
             known = [c[~ask] for c in columns]
             if held is not None:
                 known = [np.append(a, b) for a, b in zip(held, known, strict=True)]
@@ -274,7 +254,7 @@ def looked_up(shallow, size: int = 1 << 16):
                 levels.append(level(known[2][mine].view(np.uint64), *(c[mine].astype(np.float64) for c in known[3:])))
             # the counts of the last group serve the keys that follow
             held = [c[known[0] == columns[0][-1]] for c in known]
-            return pa.RecordBatch.from_arrays([pa.array(signed(packed)), pa.array(Tree(levels, root).log_probability(packed))], names=["key", "p"])
+            return pa.RecordBatch.from_arrays([pa.array(signed(packed)), pa.array(n), pa.array(Tree(levels, root).log_probability(packed))], names=["key", "n", "p"])
 
         for batch in batches:
             if batch.num_rows:
@@ -288,7 +268,7 @@ def looked_up(shallow, size: int = 1 << 16):
 
 
 def log_probabilities(keys: DataFrame, after: DataFrame, root: np.ndarray) -> DataFrame:
-    """key and p, its log10 probability under the whole tree. keys: distinct packed keys.
+    """key, n and p, its log10 probability under the whole tree. keys: distinct packed keys and their n.
 
     All contexts of a key from two bytes on end in the same two bytes, so counts and keys
     are dealt by these; contexts of one byte, at most 256, go everywhere."""
@@ -298,14 +278,14 @@ def log_probabilities(keys: DataFrame, after: DataFrame, root: np.ndarray) -> Da
     group = F.shiftright("key", 8).bitwiseAND((1 << (8 * SHARED)) - 1).alias("group")
     counts = after.where(F.col("depth") >= SHARED).select(group, "depth", "key", "n", "total", "kinds")
     zero = F.lit(0).cast("long")
-    asked = keys.select(group, F.lit(DEPTH + 1).alias("depth"), "key", zero.alias("n"), zero.alias("total"), zero.alias("kinds"))
+    asked = keys.select(group, F.lit(DEPTH + 1).alias("depth"), "key", "n", zero.alias("total"), zero.alias("kinds"))
     dealt = counts.union(asked).repartition("group").sortWithinPartitions("group", "depth")
-    return dealt.mapInArrow(released(looked_up(shallow)), "key long, p double")
+    return dealt.mapInArrow(released(looked_up(shallow)), "key long, n long, p double")
 
 
-def score_rows(tree, common, end: float, sieve=None):
-    """One row per text with the score of what the tree settles and the base score of its end and common words;
-    one per other word of it, and one per symbol and context that may need the rest of the tree."""
+def score_rows(tree, common, end: float):
+    """One row per text with the score of what travels (a tree, or known log probabilities) and the base score of
+    its end and common words; one per other word of it, and one per other symbol with its context."""
     def run(batches):
         names, logs = common.value
         index = pd.Index(names)
@@ -316,15 +296,15 @@ def score_rows(tree, common, end: float, sieve=None):
                 symbols, until, (starts, ends, first) = sequences(block)
                 packed, where = grams(symbols, until)
                 codes, kinds = pd.factorize(packed)
-                p = model.log_probability(kinds)
-                if sieve is not None:
-                    open_ = may_need(kinds, sieve.value)
-                    p[open_] = 0.0
+                if isinstance(model, Known):
+                    p, open_ = model.look_up(kinds)
                     asked = np.flatnonzero(open_[codes])
                     pairs, n = np.unique(owners(where)[asked] * len(kinds) + codes[asked], return_counts=True)
                     if len(pairs):
                         owner, key = np.divmod(pairs, len(kinds))
                         yield counted_part(rows[block.start + owner], SYMBOL, kinds[key], n)
+                else:
+                    p = model.log_probability(kinds)
                 score = sums_by(where, p[codes])
                 h = HASH.ranges(block.data, starts, ends)
                 at = index.get_indexer(h)
@@ -372,16 +352,18 @@ def score(docs: DataFrame, training: Column, text: Column | str = "text", doc_id
     counted = written(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     tokens = counted.where(F.col("kind") == WORD).select("key", "n")
     symbols = counted.where(F.col("kind") == SYMBOL).select("key", "n")
-    grown, rest, after = grow(symbols)
-    tree = spark.sparkContext.broadcast(grown)
+    grown, whole_tree, after = grow(symbols)
     known = tokens.where(F.col("key") != END).select(F.lit(WORD).alias("kind"), "key", F.col("n").alias("c"), F.lit(None).cast("double").alias("p"))
-    sieve = None
-    if rest is not None:
-        sieve = spark.sparkContext.broadcast(bloom(rest.mapInArrow(released(hashed_states), "h long")))
+    model = grown
+    if not whole_tree:
         others = docs.where(~F.coalesce(training, F.lit(False))).select(as_column(text).alias("text")).mapInArrow(released(count_rows()), from_arrow_schema(COUNT))
-        keys = symbols.select("key").union(others.where(F.col("kind") == SYMBOL).select("key")).mapInArrow(released(needed(sieve)), "key long").distinct()
+        keys = written(symbols.union(others.where(F.col("kind") == SYMBOL).select("key", "n")).groupBy("key").agg(F.sum("n").alias("n")), "symbols")
+        least = commonest(keys, MAX_ENTRIES)
         p = written(log_probabilities(keys, after, grown.root), "log-probabilities")
-        known = known.union(p.select(F.lit(SYMBOL), "key", F.lit(None).cast("long"), "p"))
+        travel = gathered(p.where(F.col("n") >= least).select("key", "p"))
+        model = Known(travel["key"].view(np.uint64), travel["p"])
+        known = known.union(p.where(F.col("n") < least).select(F.lit(SYMBOL), "key", F.lit(None).cast("long"), "p"))
+    tree = spark.sparkContext.broadcast(model)
     total, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log_of = lambda c: np.log10((c + 0.1) / (total + 0.1 * (distinct + 1)))
     ends = tokens.where(F.col("key") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -389,7 +371,7 @@ def score(docs: DataFrame, training: Column, text: Column | str = "text", doc_id
     common = spark.sparkContext.broadcast((top["key"].view(np.uint64), log_of(top["n"].astype(np.float64))))
     known_end = int(ends > 0)
     narrow = docs.select(F.monotonically_increasing_id().alias("row"), as_column(doc_id).cast("long").alias("doc_id"), as_column(text).alias("text"))
-    parts = narrow.mapInArrow(released(score_rows(tree, common, float(log_of(ends)), sieve)), from_arrow_schema(PART))
+    parts = narrow.mapInArrow(released(score_rows(tree, common, float(log_of(ends)))), from_arrow_schema(PART))
     # the commonest words are done, so no word left is in many texts
     joined = parts.join(known, ["kind", "key"], "left")
     is_symbol = F.col("kind") == SYMBOL

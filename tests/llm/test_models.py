@@ -144,6 +144,22 @@ def test_states_that_do_not_travel_count_in_full(docs, monkeypatch):
             assert x[:3] == y[:3] and x[3:] == pytest.approx(y[3:], rel=1e-9)
 
 
+def test_common_symbols_of_a_large_tree_meet_no_join(docs, monkeypatch):
+    """With states beyond the limit, only symbols that are rarer than those that travel are joined; scores are the same."""
+    table = lambda: sorted((str(r.doc_id), r.n_tokens, r.score) for r in suffix_tree_lm.score(docs, F.lit(True)).collect())
+    whole = table()
+    monkeypatch.setattr(suffix_tree_lm.grow, "__defaults__", (*suffix_tree_lm.grow.__defaults__[:3], 0, 0))
+    monkeypatch.setattr(suffix_tree_lm, "MAX_ENTRIES", 200)
+    for x, y in zip(table(), whole, strict=True):
+        assert x[:2] == y[:2] and x[2] == pytest.approx(y[2], rel=1e-9)
+    keys = docs.sparkSession.createDataFrame([(k, n) for k, n in enumerate([1] * 50 + [3] * 20 + [70] * 5 + [900])], "key long, n long")
+    assert [suffix_tree_lm.commonest(keys, k) for k in (76, 75, 26, 25, 6, 1)] == [1, 3, 3, 70, 70, 900]
+    assert suffix_tree_lm.commonest(keys, 0) > 900
+    known = suffix_tree_lm.Known(np.array([9, 4], np.uint64), np.array([-0.5, -2.0]))
+    p, other = known.look_up(np.array([4, 5, 9, 10], np.uint64))
+    assert p.tolist() == [-2.0, 0, -0.5, 0] and other.tolist() == [False, True, False, True]
+
+
 def test_rare_words_meet_counts_in_the_join(docs, monkeypatch):
     everything = [(r.doc_id, r.n_known, round(r.base_score, 6)) for r in suffix_tree_lm.score(docs, F.lit(True)).collect()]
     monkeypatch.setattr(suffix_tree_lm, "COMMON", 3)
