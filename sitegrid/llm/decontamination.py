@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from sitegrid.llm.bloom import bloom
-from sitegrid.llm.tables import written
+from sitegrid.llm.tables import may_be_in, written
 from sitegrid.llm.text import Block, Hasher, blocks, lists, ngrams, owners, released, signed, sliding, spans, starts_of, sums_by
 
 SEED_WORDS, STRETCH = 3, 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST = 0.5
 LONG, POINTS = 13, 3
+PIECE = 1 << 18  # bytes of texts at once
 
 HASH = Hasher(seed=11)
 #: bytes of words: digits, letters, and all bytes beyond ASCII
@@ -75,7 +76,7 @@ def item_rows(seed_words: int):
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), PIECE):
                 h, first, starts, _ = word_hashes(block)
                 at = starts_of(first, seed_words)
                 owner = owners(first)[at]
@@ -95,7 +96,7 @@ def corpus_rows(seed_words: int, sieve):
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), PIECE):
                 h, first, _, _ = word_hashes(block)
                 grams = ngrams(h, seed_words)
                 hits = np.flatnonzero(sieve.value.may(grams))
@@ -105,17 +106,6 @@ def corpus_rows(seed_words: int, sieve):
     return run
 
 
-def candidates(sieve):
-    """Rows whose hash, in the last column, the sieve may have."""
-
-    def run(batches):
-        for batch in batches:
-            keep = sieve.value.may(batch.column(2).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in range(2)], names=batch.schema.names[:2])
-
-    return run
-
-
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Smith-Waterman with a linear gap cost: best score, and the first and last aligned word of the text.
 
@@ -153,7 +143,7 @@ def aligned(least: float):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             items = batch.column(2).to_pylist()
             out = []
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), PIECE):
                 h, first, starts, ends = word_hashes(block)
                 chars = np.append(0, np.cumsum((block.data & 0xC0) != 0x80))
                 h = signed(h)
@@ -213,9 +203,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST, seed_words: i
     pairs = seen.join(seeds, "h").select("doc_id", "class_id").distinct()
     wanted = pairs.join(classes, "class_id").groupBy("doc_id").agg(F.collect_list(F.struct("class_id", "words", "long")).alias("items"))
     wanted = written(wanted, "candidates")
-    # only texts that may be candidates are shuffled
-    ids = docs.sparkSession.sparkContext.broadcast(bloom(wanted.select(F.xxhash64("doc_id").alias("h"))))
-    few = named.withColumn("h", F.xxhash64("doc_id")).mapInArrow(released(candidates(ids)), named.schema)
-    found = few.join(wanted, "doc_id").select("doc_id", "text", "items").mapInArrow(released(aligned(least)), from_arrow_schema(FOUND))
+    # only texts that may be candidates are shuffled; sorted out without Python, as each Python step of a stage holds workers of its own
+    found = named.where(may_be_in(wanted, "doc_id")).join(wanted, "doc_id").select("doc_id", "text", "items").mapInArrow(released(aligned(least)), from_arrow_schema(FOUND))
     best = found.groupBy("doc_id", "class_id").agg(F.max(F.struct("score", *FOUND.names[3:])).alias("best"))
     return best.select("doc_id", "class_id", "best.*"), members

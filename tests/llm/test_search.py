@@ -220,3 +220,11 @@ def test_no_python_on_the_main_path(spark):
     for df in (found, ledger, secret_ledger.mask(frame(spark, SECRETS))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "InArrow" not in plan
+
+
+def test_aligned_texts_meet_one_python_step_a_stage(spark):
+    """Each Python step of a stage holds workers of its own, which an executor's memory has to bear."""
+    text = "one rare passage of seven words here"
+    found, _ = decontamination.leaks(frame(spark, [(1, text), (2, "else")]), spark.createDataFrame([(5, text)], "item_id long, text string"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert [(r.doc_id, r.class_id) for r in found.collect()] == [(1, 5)]
