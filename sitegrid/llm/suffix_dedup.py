@@ -38,6 +38,7 @@ from sitegrid.llm.text import Block, Hasher, blocks, gather, listed, lists, mix,
 
 WINDOW, BASE, SYMBOLS = 200, 40, 5
 BATCH, LIMIT, SHARDS = 1 << 20, 1 << 20, 4
+PIECE = 1 << 18  # bytes of texts at once: hashes of all positions, 8 bytes each, stay in the cache
 U64 = np.uint64
 FIRST, SECOND, INNER = Hasher(seed=5), Hasher(seed=55), Hasher(seed=555)
 
@@ -84,7 +85,7 @@ def anchor_rows(window: int, sieve=None):
     def run(batches):
         for batch in batches:
             rows = batch.column(0).to_numpy()
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), PIECE):
                 text, _, _, h = segments(block, window)
                 if sieve is not None:
                     keep = sieve.value.may(h)
@@ -134,7 +135,7 @@ def segment_rows(window: int, with_bytes: bool):
     def run(batches):
         for batch in batches:
             rows = batch.column(0).to_numpy()
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), PIECE):
                 known, until = lists(batch.column(2), block.start, block.n)
                 if not len(known):
                     continue
@@ -330,7 +331,7 @@ def single_windows(window: int):
     def run(batches):
         for batch in batches:
             h, g, n = batch.column(0), batch.column(1), batch.column(3).to_numpy()
-            for block in blocks(batch.column(2)):
+            for block in blocks(batch.column(2), PIECE):
                 sizes = np.diff(block.offsets) - window + 1
                 at = gather(np.arange(len(block.data)), block.offsets[:-1], sizes)
                 of = np.repeat(np.arange(block.n), sizes) + block.start
@@ -348,7 +349,7 @@ def cut(window: int):
             keys = batch.column(3)
             hs = batch.column(2)
             runs_of = batch.column(4)
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), PIECE):
                 cover = np.zeros(len(block.data) + 1, np.int64)
                 known, until = lists(hs, block.start, block.n)
                 if len(known):

@@ -1,6 +1,7 @@
 """Repeated windows of words and of bytes, and SimHash groups, against brute force."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -161,3 +162,17 @@ def test_one_passage_in_many_documents(spark):
     rows = [(i, f"{prose(rng, 5)} {passage} {prose(rng, 5)}") for i in range(300)]
     got = substring_dedup.remove_repeats(frame(spark, rows), split=10).collect()
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == removed_words(rows, 13)
+
+
+def test_a_block_of_the_suffix_operator_is_small(monkeypatch):
+    """Hashes of all positions of a block are held, eight bytes each."""
+    import pyarrow as pa
+
+    sizes, segments = [], suffix_dedup.segments
+    monkeypatch.setattr(suffix_dedup, "segments", lambda block, window: sizes.append(len(block.data)) or segments(block, window))
+    texts = ["".join(random.Random(i % 30).choices("abcd ", k=10_000)) for i in range(100)]
+    batch = pa.record_batch([pa.array(range(100), pa.int64()), pa.array(texts)], names=["row", "text"])
+    found = pa.Table.from_batches(suffix_dedup.anchor_rows(200)([batch])).to_pydict()
+    assert sum(sizes) == 1_000_000 and max(sizes) <= 1 << 18
+    by_row = {r: sorted(h for h, q in zip(found["h"], found["row"], strict=True) if q == r) for r in (3, 33, 63)}
+    assert by_row[3] == by_row[33] == by_row[63] != []
