@@ -71,6 +71,11 @@ def test_repeated_rows_leave_one(spark, world):
     assert ids(STAGES["near_copies"](spark, docs, world)) == Counter({301: 1})
 
 
+def test_repeated_rows_without_an_id_stay(spark, world):
+    docs = spark.read.parquet(f"{world}/documents.parquet").where("doc_id IS NULL OR doc_id = 301")
+    assert ids(STAGES["near_copies"](spark, docs.unionByName(docs), world)) == Counter({301: 1, None: 2})
+
+
 def test_run_and_empty_input(spark, world):
     got = ids(corpus_pipeline.run(spark, world))
     assert set(range(7, 200)) <= set(got) and not set(got) & {300, 301, 302, 303, 307, 308, *range(200, 260)}
